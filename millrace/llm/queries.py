@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, quality_lr, quality_rules, toxicity
+from . import decontam, langid, quality_lr, quality_rules, simhash, spdropout, toxicity
 from .runtime import bucket_of
 
 
@@ -13,6 +13,15 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(_read(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("simhash"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")
     remainder = bucket_of(F.col("doc_id"), 5)
@@ -27,6 +36,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, langid.train(docs, remainder != 2), (remainder == 2).alias("held_out"))
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spdropout.encode(_read(spark, sf_dir, "documents"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")
     return toxicity.score(docs, toxicity.train(docs, labels))
@@ -37,5 +50,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, quality_rules.train(docs, labels))
 
 
-QUERIES = {f.__name__: f for f in (op5_quality_classifier, op6_language_id, op9_toxicity, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op3_decontamination, op5_quality_classifier, op6_language_id, op8_sentencepiece, op9_toxicity, op10_quality_rules)}
 ORACLE_SQL: dict[str, str] = {}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Longer Arrow batches for actions on narrow rows."""
+    prepare(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    try:
+        yield
+    finally:
+        prepare(spark)
+
+
 def arrow_map(df: DataFrame, function: Callable[[pa.RecordBatch], dict], schema: str) -> DataFrame:
     """``mapInArrow`` for a function from a batch to a dict of equally long columns."""
     names = [x.strip().split()[0] for x in schema.split(",")]
