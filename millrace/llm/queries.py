@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, quality_lr, quality_rules, simhash, spdropout, toxicity
+from . import decontam, langid, quality_lr, quality_rules, simhash, spdropout, suffixdup, toxicity
 from .runtime import bucket_of
 
 
@@ -22,6 +22,11 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixdup.dedup(_read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")
     remainder = bucket_of(F.col("doc_id"), 5)
@@ -50,5 +55,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, quality_rules.train(docs, labels))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op3_decontamination, op5_quality_classifier, op6_language_id, op8_sentencepiece, op9_toxicity, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op3_decontamination, op4_suffix_array_dedup, op5_quality_classifier, op6_language_id, op8_sentencepiece, op9_toxicity, op10_quality_rules)}
 ORACLE_SQL: dict[str, str] = {}

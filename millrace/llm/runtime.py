@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +26,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     context = spark.sparkContext
+    context.environment.setdefault("PYTHONPATH", str(Path(__file__).parents[2]))  # workers on this host find the package
     if context._jsc.sc().getCheckpointDir().isEmpty():
         context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="millrace-"))
     return spark
@@ -31,7 +35,24 @@ def prepare(spark: SparkSession) -> SparkSession:
 def cut(df: DataFrame) -> DataFrame:
     """Materialises df once in the shared checkpoint folder, so later reads survive lost executors."""
     prepare(df.sparkSession)
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    release(df.sparkSession)
+    return out
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Like ``cut``, for many rows: a compressed Parquet table in the shared checkpoint folder."""
+    spark = prepare(df.sparkSession)
+    path = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/tables/{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    release(spark)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark's cleaner drop the shuffle files of finished steps."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 @contextmanager
