@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, quality_lr, quality_rules, simhash, spdropout, suffixdup, toxicity
+from . import decontam, langid, quality_lr, quality_rules, secret_scan, simhash, spdropout, suffixdup, toxicity
 from .runtime import bucket_of
 
 
@@ -41,6 +41,17 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, langid.train(docs, remainder != 2), (remainder == 2).alias("held_out"))
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan_all(_read(spark, sf_dir, "documents"))
+    kinds = [r.kind for r in secret_scan.BASE_RULES]
+    base = F.filter("findings", lambda f: f["kind"].isin(kinds))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("findings", lambda f: f["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(count, kinds), F.sha2(secret_scan.digest(base).cast("binary"), 256).alias("base_sha256"), secret_scan.digest(F.col("findings")).alias("spans"))
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spdropout.encode(_read(spark, sf_dir, "documents"))
 
@@ -55,5 +66,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, quality_rules.train(docs, labels))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op3_decontamination, op4_suffix_array_dedup, op5_quality_classifier, op6_language_id, op8_sentencepiece, op9_toxicity, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op3_decontamination, op4_suffix_array_dedup, op5_quality_classifier, op6_language_id, op7_secret_scan, op8_sentencepiece, op9_toxicity, op10_quality_rules)}
 ORACLE_SQL: dict[str, str] = {}
