@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, quality_lr, quality_rules, secret_scan, simhash, spdropout, suffixdup, toxicity
+from . import decontam, langid, line_dedup, quality_lr, quality_rules, secret_scan, simhash, spdropout, suffixdup, toxicity
 from .runtime import bucket_of
 
 
@@ -18,6 +18,10 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("simhash"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
@@ -66,5 +70,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, quality_rules.train(docs, labels))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op3_decontamination, op4_suffix_array_dedup, op5_quality_classifier, op6_language_id, op7_secret_scan, op8_sentencepiece, op9_toxicity, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op2_line_dedup, op3_decontamination, op4_suffix_array_dedup, op5_quality_classifier, op6_language_id, op7_secret_scan, op8_sentencepiece, op9_toxicity, op10_quality_rules)}
 ORACLE_SQL: dict[str, str] = {}
