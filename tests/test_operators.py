@@ -1,0 +1,241 @@
+"""Golden vectors and shared properties of the DataFrame operators."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.functions import text as X
+from millrace.operators import coarse, context_models, diff, lexical, neardup, normalize, review, structure
+from millrace.schema import ANONYMOUS, AUTHOR, CONTENT, CORRECTED, CRAWLED, CRITERIA, INPUT_ROW, MOVED, POSTED, PRODUCT, PRODUCT_NAME, PRODUCT_ORD, REVIEW_ID, ROW, SOURCE_FILE, SOURCE_ROW, TEXT_NORM
+from millrace.sources.lexicons import Lexicon
+
+
+def table(spark, rows, columns, product="p", ordinal=0):
+    schema = f"{PRODUCT} string, {PRODUCT_ORD} int, {ROW} long, " + ", ".join(f"`{c}` string" for c in columns)
+    return spark.createDataFrame([(product, ordinal, k, *(r if isinstance(r, tuple) else (r,))) for k, r in enumerate(rows)], schema)
+
+
+def contents(df, column=CONTENT):
+    return [r[0] for r in df.orderBy(PRODUCT_ORD, ROW).select(f"`{column}`").collect()]
+
+
+def rows_of(df):
+    return [r[0] for r in df.orderBy(PRODUCT_ORD, ROW).select(ROW).collect()]
+
+
+def test_review_id(spark):
+    df = table(spark, ["a", "b", "c"], [CONTENT], "phone")
+    out = structure.assign_review_id(df)
+    assert contents(out, REVIEW_ID) == ["phone_00001", "phone_00002", "phone_00003"]
+    assert out.columns[:2] == ["review_id", "review_raw"]
+    assert structure.keys_are_unique(out)
+    with pytest.raises(ValueError, match="already"):
+        structure.assign_review_id(out)
+
+
+def test_misaligned_fields(spark):
+    rows = [("Biết thế không xinh gái nữa", None), ("đẹp", None), ("ok", None), ("Tốt. Đeo dễ chịu.", "Được tặng kèm"), (None, None), ("a*****1", "x")]
+    out = structure.fix_field_misalignment(table(spark, rows, [AUTHOR, CONTENT]))
+    assert contents(out) == ["Biết thế không xinh gái nữa", "đẹp", None, "Tốt. Đeo dễ chịu.\nĐược tặng kèm", None, "x"]
+    assert contents(out, AUTHOR) == [ANONYMOUS, ANONYMOUS, "ok", ANONYMOUS, None, "a*****1"]
+
+
+def test_empty_rows_and_types(spark):
+    df = table(spark, [("u", " ", None), ("u", "x", None), ("u", None, "a: b"), (" ", None, " ")], [AUTHOR, CONTENT, CRITERIA])
+    assert rows_of(structure.drop_empty_rows(df)) == [1, 2]
+    times = table(spark, [("2025-12-17 01:38", "2026-08-22T13:40:30.954Z"), (None, None)], [POSTED, CRAWLED])
+    typed = structure.fix_data_types(times)
+    assert dict(typed.dtypes)[POSTED] == "timestamp_ntz"
+    assert str(typed.orderBy(ROW).first()[POSTED]) == "2025-12-17 01:38:00"
+    assert typed.orderBy(ROW).collect()[1][CRAWLED] is None
+    with pytest.raises(Exception, match="CANNOT_PARSE_TIMESTAMP"):
+        structure.fix_data_types(table(spark, [("2025-12-17", None)], [POSTED, CRAWLED])).collect()
+
+
+def test_criteria(spark):
+    df = table(spark, [("Ổn", "Thiết kế: đẹp\nMáy lag: hơi giật"), (None, "Thiết kế: ok\nPin: trâu"), ("Giao nhanh", "Thiết kế: mỏng\nPin: tốt"), (None, None)], [CONTENT, CRITERIA])
+    out = structure.split_merged_fields(df)
+    assert contents(out, "Thiết kế") == ["đẹp", "ok", "mỏng", None]
+    assert contents(out) == ["Ổn\nMáy lag: hơi giật", "Pin: trâu", "Giao nhanh\nPin: tốt", None]
+    assert contents(out, MOVED) == ["Máy lag", "Pin", "Pin", None]
+    assert "Pin" not in out.columns
+    one = structure.split_merged_fields(table(spark, [("x", "Màu sắc: đen\nMàu sắc: bóng\nGhi chú: xem http://a.co:8080/x\n: y\nz")], [CONTENT, CRITERIA]), least_rows=1)
+    assert (contents(one, "Màu sắc"), contents(one, "Ghi chú")) == (["đen; bóng"], ["xem http://a.co:8080/x"])
+    clash = table(spark, [("x", "y", "Sản phẩm: tốt")], [CONTENT, "Sản phẩm", CRITERIA])
+    assert "Sản phẩm (tiêu chí)" in structure.split_merged_fields(clash, least_rows=1).columns
+
+
+def test_spaces_and_text_norm(spark):
+    df = table(spark, ["  a   b\t c  ", "x  \n\n\n  y", "a\r\nb", "\u00a0 \u3000", None, "ĐẸP İ"], [CONTENT])
+    out = normalize.add_text_norm(normalize.strip_extra_whitespace(df))
+    assert contents(out)[:5] == ["a b c", "x\ny", "a\nb", None, None]
+    assert out.columns.index(TEXT_NORM) == out.columns.index(CONTENT) + 1
+    assert contents(out, TEXT_NORM)[5] == "đẹp i̇"
+    again = normalize.add_text_norm(normalize.strip_extra_whitespace(out))
+    assert again.collect() == out.collect()
+    assert contents(normalize.normalize_unicode_and_html(table(spark, ["hoà<br/>x", "<p></p>", None], [CONTENT]))) == ["hòa\nx", None, None]
+
+
+def test_character_noise(spark):
+    df = table(spark, ["hàng~đẹp^^ giá 1.000₫!", "~~~", "rất_thích", "a _ b", None], [CONTENT])
+    out = contents(normalize.strip_extra_whitespace(normalize.remove_meaningless_special_chars(df)))
+    assert out == ["hàng đẹp giá 1.000₫!", None, "rất_thích", "a b", None]
+    emoji = normalize.handle_inline_emoji(table(spark, ["đẹp 😍", None, "🚀"], [CONTENT]), {"😍": ("thích", "pos")})
+    assert [tuple(r) for r in emoji.orderBy(ROW).select(CONTENT, "emojis", "emoji_sentiment").collect()] == [("đẹp  thích ", "😍", "pos"), (None, None, None), (None, "🚀", None)]
+
+
+@pytest.mark.parametrize("text", ["https://shop.vn/abc", "www.example.vn/sanpham", "Ghé shop.com nhé"])
+def test_url(spark, text):
+    assert spark.range(1).select(X.contains_url(F.lit(text))).first()[0]
+
+
+@pytest.mark.parametrize("text", ["Giá 500.000đ rẻ quá", "lùi 1 size.Shop đóng gói", "đúng from.Shop vui vẻ", "  "])
+def test_no_url(spark, text):
+    assert not spark.range(1).select(X.contains_url(F.lit(text))).first()[0]
+
+
+def test_phone_and_predicates(spark):
+    cases = {"0987654321": True, "090.123.4567": True, "zalo hotline": False, "01.02.2023": False, "990000": False, "+84 987 654 321": True}
+    df = spark.createDataFrame(list(cases.items()), "t string, want boolean")
+    assert df.where(X.contains_phone(F.col("t")) != F.col("want")).isEmpty()
+    row = spark.range(1).select(X.is_short(F.lit("a b c d"), 4), X.is_short(F.lit("a b c d e"), 4), X.is_short(F.lit("  "), 4), X.is_symbol_only(F.lit("!!😍")), X.is_symbol_only(F.lit(" ")), X.is_emoji_only(F.lit("😍 👍")), X.has_vowel(F.lit("ế")), X.has_vowel(F.lit("đthk"))).first()
+    assert list(row) == [True, False, False, True, False, True, True, False]
+
+
+def test_language_split(spark):
+    df = table(spark, ["Hàng đẹp", "hang dep lam", "great quality very good", "good", "ok", "质量很好", None], [CONTENT])
+    kept, suspect = coarse.split_foreign(df)
+    assert (rows_of(kept), rows_of(suspect)) == ([0, 1, 4, 6], [2, 3, 5])
+
+
+def test_duplicates(spark):
+    a = table(spark, [("u*1", "hàng đẹp"), (ANONYMOUS, "ổn")], [AUTHOR, CONTENT], "a")
+    b = table(spark, [("u*1", "hàng đẹp"), (ANONYMOUS, "ổn"), ("u*2", "hàng đẹp")], [AUTHOR, CONTENT], "b", 1)
+    out = coarse.drop_exact_duplicates_across(a.union(b))
+    assert [tuple(r) for r in out.orderBy(PRODUCT_ORD, ROW).select(PRODUCT, ROW).collect()] == [("a", 0), ("a", 1), ("b", 1), ("b", 2)]
+    own = table(spark, [("u", "x"), ("u", " x "), ("u", "X"), (None, "x"), (None, "x"), ("u", None), ("u", None)], [AUTHOR, CONTENT])
+    kept = coarse.drop_exact_duplicates(own)
+    assert rows_of(kept) == [0, 2, 3, 4, 5, 6]
+    assert rows_of(coarse.removed_rows(own, kept, PRODUCT, ROW)) == [1]
+    assert [tuple(r) for r in coarse.duplicate_evidence(own).orderBy("orig_row").collect()] == [("p", 0, "keep", 1, 2), ("p", 1, "remove", 1, 3)]
+
+
+def test_splits_lose_no_row_and_missing_columns_change_nothing(spark):
+    df = table(spark, ["a b", None, "https://x.vn/1", "worthless!", "một hai ba bốn năm sáu"], [CONTENT])
+    for split in (coarse.split_short(df), coarse.split_advertising(df), coarse.split_foreign(df), coarse.split_terms(df, {"worthless"})):
+        assert sorted(rows_of(split.kept) + rows_of(split.suspect)) == list(range(5))
+    bare = df.drop(CONTENT)
+    for f in (coarse.split_short, coarse.split_advertising, coarse.split_foreign):
+        assert rows_of(f(bare).kept) == list(range(5))
+        assert f(bare).suspect.isEmpty()
+    assert coarse.drop_symbol_only(bare).columns == bare.columns
+
+
+def test_near_duplicates(spark):
+    rows = [("An", "Sản phẩm rất tốt và giao hàng nhanh"), ("Bình", "Sản phẩm rất tốt và giao hàng nhanh!"), ("Chi", "khác hẳn"), ("Chi", "khác hẳn")]
+    df = table(spark, rows, [AUTHOR, CONTENT])
+    assert rows_of(neardup.split_near_duplicates(df).suspect) == [0, 1]
+    same = df.withColumn(AUTHOR, F.lit("An"))
+    assert neardup.split_near_duplicates(same).suspect.isEmpty()
+    near = table(spark, [("a", "Sản phẩm rất tốt"), ("b", "Sản phẩm khá tốt")], [AUTHOR, CONTENT])
+    assert neardup.split_near_duplicates(near).suspect.isEmpty()
+    assert rows_of(neardup.split_near_duplicates(near, threshold=0.5).suspect) == [0, 1]
+    a = table(spark, ["hàng rất đẹp giao nhanh", "x y z", "q w e r t y", "q w e r t y"], [CONTENT], "a")
+    b = table(spark, ["hàng rất đẹp giao nhanh.", "hoàn toàn khác"], [CONTENT], "b", 1)
+    out = neardup.split_cross_file_near_duplicates(a.union(b)).suspect
+    assert sorted((r[SOURCE_FILE], r[INPUT_ROW]) for r in out.collect()) == [("a", 2), ("b", 2)]
+
+
+def test_final_check(spark):
+    df = table(spark, [("  hàng   đẹp ", None)], [CONTENT, CRITERIA])
+    assert contents(coarse.final_check(df, 1)) == ["hàng đẹp"]
+    with pytest.raises(ValueError, match="expected"):
+        coarse.final_check(df, 2)
+    with pytest.raises(ValueError, match="neither"):
+        coarse.final_check(table(spark, [(None, " ")], [CONTENT, CRITERIA]), 1)
+
+
+def test_review_merge(spark):
+    df = table(spark, ["một", "hai", "một hai ba bốn năm"], [CONTENT])
+    kept, suspect = coarse.split_short(df)
+    checked = suspect.where(F.col(ROW) == 1).select(F.col(PRODUCT).alias(PRODUCT_NAME), (F.col(ROW) + 2).alias(SOURCE_ROW), F.lit("sửa").alias(CONTENT))
+    assert contents(review.merge_checked_rows(kept, suspect, checked, ["p"])) == ["sửa", "một hai ba bốn năm"]
+    assert rows_of(review.merge_checked_rows(kept, suspect, None, ["p"])) == [2]
+    for bad, message in ((checked.union(checked), "more than once"), (checked.withColumn(SOURCE_ROW, F.lit(4)), "not set aside"), (checked.withColumn(PRODUCT_NAME, F.lit("q")), "unknown")):
+        with pytest.raises(ValueError, match=message):
+            review.merge_checked_rows(kept, suspect, bad, ["p"])
+    spelt = suspect.select(F.col(PRODUCT).alias(PRODUCT_NAME), (F.col(ROW) + 2).alias(SOURCE_ROW), F.when(F.col(ROW) == 0, "Một").alias(CORRECTED))
+    assert contents(review.apply_spelling_review(kept, suspect, spelt, ["p"])) == ["Một", "hai", "một hai ba bốn năm"]
+
+
+def test_diff(spark):
+    before = table(spark, ["a", None, "c"], [CONTENT])
+    after = table(spark, ["a", None, "C", "d"], [CONTENT]).where(f"{ROW} <> 0")
+    assert sorted(tuple(r)[1:] for r in diff.diff_rows(before, after).collect()) == [(0, "removed", []), (2, "changed", [CONTENT]), (3, "added", [])]
+    said = []
+    assert diff.print_diff("x", before, after, say=said.append) == {"removed": 1, "changed": 1, "added": 1}
+    assert said[0].startswith("[x] 1 added")
+    assert diff.compact([3, 1, 2, 7]) == "1-3, 7"
+
+
+LEXICON = Lexicon(
+    abbreviations={"ko": [("không", None)], "nc": [("nước", None), ("nói chung", None)]},
+    whitelist=frozenset({"box"}),
+    syllables=frozenset("không tốt giao hàng nhanh đường may".split()),
+    norms={"ko": "không", "hang": "hàng"},
+)
+
+
+def test_votes():
+    assert lexical.vote({lexical.RULE: "nhé / nhà", lexical.NORMS: "nhà"}) == ("nhà", 2)
+    assert lexical.vote({lexical.RULE: "a", lexical.NORMS: "b"}) == ("a", 1)
+    assert lexical.vote({}) == ("", 0)
+    assert lexical.vote({lexical.RULE: "a", lexical.NORMS: "a", lexical.ACCENTER: "b"}, lexical.ACCENTER) == ("b", 1)
+
+
+def test_lexical_flow(spark):
+    texts = ["Ko tốt, giao hang nhanh, hang 200 k, đường may", "hàng hàng hàng hàng tốt box", None, "hàng tốt"]
+    df = table(spark, texts, [CONTENT])
+    stats = lexical.token_stats(df, LEXICON)
+    assert stats.accented["hang"][0] == "hàng"
+    bad = {r.token: (r.kind, r.suggestion) for r in lexical.nonstandard_tokens(stats, LEXICON).collect()}
+    assert bad["ko"] == (lexical.ABBREVIATION, "không")
+    assert bad["box"] == (lexical.BORROWED, lexical.KEEP)
+    assert "tốt" not in bad
+    rows = lexical.suspect_rows(df, lexical.nonstandard_tokens(stats, LEXICON))
+    listed = lexical.list_nonstandard(df, lexical.nonstandard_tokens(stats, LEXICON))
+    assert listed.columns[0] == SOURCE_ROW
+    first = listed.orderBy(ROW).first()
+    assert first["Token nghi vấn"].startswith("ko, ")
+    assert "ko -> không [teencode/viết tắt]" in first["Chi tiết token"]
+    out = lexical.apply_corrections(df, rows, LEXICON, least_restored=1)
+    assert contents(out, lexical.NORMALISED)[0].startswith("Không tốt, giao hàng nhanh")
+    assert "đường may" in contents(out, lexical.NORMALISED)[0]
+    table_ = lexical.frequency_table(rows, stats, LEXICON)
+    assert {r.token: r.rows for r in table_.collect()}["ko"] == 1
+    assert lexical.kind_summary(table_).count() >= 2
+    assert "(2/2: luật=không; ViLexNorm=không)" in lexical.annotate_suggestions(rows, LEXICON).orderBy(ROW).first()[lexical.TOKEN_DETAIL]
+
+
+def test_spelling_split(spark):
+    df = table(spark, ["hangf đẹp", "hàng ổn", "hàng tốt", None], [CONTENT])
+    kept, suspect = lexical.split_spelling_errors(df, Lexicon())
+    assert (rows_of(kept), rows_of(suspect)) == ([1, 2, 3], [0])
+    row = suspect.first()
+    assert (row[CONTENT], row[CORRECTED], row["Chi tiết sửa"]) == ("hangf đẹp", "hàng đẹp", "hangf -> hàng")
+    assert contents(lexical.fix_spelling(df, Lexicon()))[0] == "hàng đẹp"
+
+
+def test_context_models(spark):
+    df = table(spark, ["Ko tốt ngừoi bán", "tốt"], [CONTENT])
+    stats = lexical.token_stats(df, LEXICON)
+    rows = lexical.suspect_rows(df, lexical.nonstandard_tokens(stats, LEXICON))
+    with_model = context_models.speller_context(rows, lambda: context_models.DictionaryModel({"ngừoi": "người"}))
+    assert with_model.orderBy(ROW).first()["speller"] == {"ngừoi": "người"}
+    voted = lexical.annotate_suggestions(with_model, LEXICON, {lexical.SPELLER: "speller"})
+    assert "bmd1905=người" in voted.first()[lexical.TOKEN_DETAIL]
+    cache = spark.createDataFrame([("a", "b")], "`in` string, `out` string")
+    done = context_models.run_model(spark.createDataFrame([("a",), ("x",), ("x",)], "`in` string"), lambda: context_models.DictionaryModel({"x": "y"}), cache)
+    assert sorted(tuple(r) for r in done.collect()) == [("a", "b"), ("x", "y")]
+    chunks = context_models.correct_by_chunks(df, lambda: context_models.DictionaryModel({"ngừoi": "người"}))
+    assert contents(chunks, CORRECTED) == ["Ko tốt người bán"]
+    assert context_models.accent_tags("duoc", ["-", "uo-ươ"]) == "dươc"
