@@ -12,9 +12,8 @@ The test items are taken in blocks of ``ITEMS_PER_BLOCK``; the seeds of a block
 are the bounded side that is broadcast, and each block meets every document.
 
 Defined results. Null and empty texts, on either side, match nothing. Items of
-fewer than ``MIN_TOKENS`` tokens are too short to tell and are skipped, as are
-null item ids' texts never: they match with a null item_id. Repeated items and
-documents each give their own rows. An empty table gives no rows. Only
+fewer than ``MIN_TOKENS`` tokens are too short to tell and are skipped. Null ids
+pass through as null. Repeated items and documents each give their own rows. An empty table gives no rows. Only
 ``doc_id``/``item_id`` and ``text`` are read; ``keep_rows`` passes all columns on.
 """
 
@@ -83,12 +82,18 @@ def _seeds(token: np.ndarray, mask: tuple[int, ...], salt: int) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def _one(column: pa.Array | pa.ChunkedArray) -> pa.Array:
+    if isinstance(column, pa.ChunkedArray):
+        return pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], column.type)
+    return column
+
+
 @dataclass
 class SeedIndex:
     """The seeds of one block of items, sorted, with a bit table in front."""
 
     items: list[np.ndarray]
-    ids: list
+    ids: pa.Array
     masks: list[tuple[int, ...]]
     seed: np.ndarray
     item: np.ndarray
@@ -98,12 +103,11 @@ class SeedIndex:
     @classmethod
     def of(cls, rows: pa.Table) -> SeedIndex:
         items, ids = [], []
-        column = rows.column("text").combine_chunks()
-        for i, _, h, bound in tokens(pa.concat_arrays(column.chunks) if isinstance(column, pa.ChunkedArray) else column):
+        for i, _, h, bound in tokens(_one(rows.column("text"))):
             for k in range(len(bound) - 1):
                 if bound[k + 1] - bound[k] >= MIN_TOKENS:
                     items.append(h[bound[k] : bound[k + 1]])
-                    ids.append(rows.column("item_id")[i + k].as_py())
+                    ids.append(i + k)
         by_mask: dict[tuple[int, ...], list] = {}
         for n, item in enumerate(items):
             for m in masks(min(WINDOW, len(item)))[1]:
@@ -119,7 +123,7 @@ class SeedIndex:
         order = np.lexsort((place, owner, seed))
         table = np.zeros(1 << _TABLE_BITS, bool)
         table[seed >> np.uint64(64 - _TABLE_BITS)] = True
-        return cls(items, ids, list(by_mask), seed[order], owner[order], place[order], table)
+        return cls(items, _one(rows.column("item_id")).take(pa.array(ids, pa.int64())), list(by_mask), seed[order], owner[order], place[order], table)
 
     def hits(self, token: np.ndarray, bound: np.ndarray) -> list[tuple[int, int, int, int]]:
         """(row, item number, tokens of the row before the window, matched tokens) of each contaminated row and item."""
@@ -175,7 +179,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 for i, j, token, bound in tokens(batch.column(1)):
                     if got := shared.value.hits(token, bound):
                         r, n, offset, matched = zip(*got, strict=True)
-                        yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array([i + k for k in r])), pa.array([shared.value.ids[k] for k in n]), pa.array(offset, pa.int64()), pa.array(matched, pa.int32())], names)
+                        yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array([i + k for k in r])), _one(shared.value.ids).take(pa.array(n)), pa.array(offset, pa.int64()), pa.array(matched, pa.int32())], names)
 
         part = source.mapInArrow(rows, schema)
         out = part if out is None else out.unionByName(part)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -67,7 +68,7 @@ def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
 
 def arrow_map(df: DataFrame, function: Callable[[pa.RecordBatch], dict], schema: str) -> DataFrame:
     """``mapInArrow`` for a function from a batch to a dict of equally long columns."""
-    names = [x.strip().split()[0] for x in schema.split(",")]
+    names = [x.split()[0] for x in re.split(r",\s*(?![^(<]*[)>])", schema)]  # commas inside types do not count
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

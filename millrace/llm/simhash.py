@@ -159,12 +159,12 @@ def link_edges(nodes: DataFrame) -> DataFrame:
 
 
 def components(prints: DataFrame) -> DataFrame:
-    """(simhash, component_id) of every distinct fingerprint of rows (doc_id, simhash)."""
+    """(simhash, root, component_id) of every distinct fingerprint of rows (doc_id, simhash); root tells components apart."""
     nodes = cut(prints.groupBy(F.col("simhash").alias("fp")).agg(F.min("doc_id").alias("least")))
     roots = connected(link_edges(nodes)).withColumnRenamed("node", "fp")
     nodes = cut(nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")))
     least = nodes.groupBy("root").agg(F.min("least").alias("component_id"))
-    return nodes.join(least, "root").select(F.col("fp").alias("simhash"), "component_id")
+    return nodes.join(least, "root").select(F.col("fp").alias("simhash"), "root", "component_id")
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -176,14 +176,14 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 def keep_one(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """All columns of one row of each component: the one with the least doc_id.
 
-    Rows with equal doc_id and fingerprint count as repeats, of which one stays; a
-    component whose ids are all null keeps one row for each fingerprint.
+    Rows with equal doc_id and fingerprint count as repeats, of which one stays; so
+    does one row of a component whose ids are all null.
     """
     prints = cut(fingerprints(docs, width))
     each = prints.groupBy("doc_id", "simhash").agg(F.count(F.lit(1)).alias("n")).join(components(prints), "simhash")
     each = each.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    # an id may stand on rows of several fingerprints: the least fingerprint of the component counts
-    chosen = each.groupBy("doc_id", F.when(F.col("doc_id").isNull(), F.col("simhash")).alias("alone")).agg(F.min("simhash").alias("simhash"))
+    # an id may stand on rows of several fingerprints, in one component or in more
+    chosen = each.groupBy("root").agg(F.first("doc_id").alias("doc_id"), F.min("simhash").alias("simhash"))
     rows = prints.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
     chosen = cut(chosen.join(rows, chosen["doc_id"].eqNullSafe(rows["doc_id"])).select(chosen["doc_id"].alias("__id"), F.col("simhash").alias("__fp"), "rows"))
     single = chosen.where("rows = 1 AND __id IS NOT NULL").select("__id")
