@@ -111,7 +111,7 @@ def test_models_without_labels_and_awkward_rows(spark, tables):
     judged = quality_rules.judge(docs, quality_rules.train(docs, none))
     assert judged.count() == len(AWKWARD)
     tox = toxicity.score(docs, toxicity.train(docs, none)).collect()
-    assert {(r.toxic_score, r.toxic) for r in tox} == {(0.5, 0)}
+    assert len(tox) == len(AWKWARD) and all(r.toxic_score < 0.01 and r.toxic == 0 for r in tox)
     empty = docs.where("false")
     labels = spark.createDataFrame([(1, 1, 0), (None, 1, 1), (2, None, None)], "doc_id long, quality int, toxic int")
     assert quality_lr.score(empty, quality_lr.train(empty, labels)).isEmpty()
