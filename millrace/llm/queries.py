@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from . import decontam, langid, line_dedup, quality_lr, quality_rules, secret_scan, simhash, spdropout, suffixdup, toxicity
 from .runtime import bucket_of
+from .sql import ORACLE_SQL as ORACLE_SQL
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -71,4 +72,3 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op2_line_dedup, op3_decontamination, op4_suffix_array_dedup, op5_quality_classifier, op6_language_id, op7_secret_scan, op8_sentencepiece, op9_toxicity, op10_quality_rules)}
-ORACLE_SQL: dict[str, str] = {}
