@@ -264,7 +264,7 @@ def removed_runs(docs: DataFrame, *, length: int = LENGTH, max_group: int = MAX_
 
     every = stored(arrow_map(keyed.select("loc", "text"), cutting, "mh long, sh long, loc long, pos long"))
     twice = F.sum(F.expr("1 + (shiftright(pos, 8) & 1)"))  # a tied segment may repeat itself
-    shared = every.groupBy("mh").agg(twice.alias("c")).where("c > 1").select("mh")
+    shared = cut(every.groupBy("mh").agg(twice.alias("c")).where("c > 1").select("mh"))  # a plain side, so that a hot key's partition can be split
     every = stored(every.join(shared, "mh"))
     distinct = cut(every.groupBy("mh", "sh").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("loc", "pos")).alias("w")))
     kinds = cut(distinct.select("mh", "w.pos").groupBy("mh").agg(twice.alias("kinds")).where("kinds > 1"))
