@@ -8,13 +8,14 @@ occurrence stays, by (doc_id, line number); all others are removed.
 
 * Signatures: ``ROWS`` one-permutation hashes of ``BANDS`` bins each; band j is bin
   j of all of them, so that the rows of a band are independent. Empty bins borrow
-  from the next full one. A pair at 0.8 misses all 14 bands with probability 6e-4.
+  from the next full one. A pair at 0.8 misses all 16 bands with probability 2e-4.
 * Banding: (key, line) entries go to reducers as packed arrays. A task first
-  combines its own: of each key its least line goes on as a *head*, the others as
+  combines its own: of each key one line goes on as a *head*, the others as
   *members*. A reducer finds each key's least head, then streams the members past
   it; no bucket is gathered. This gives a star of candidates for each bucket.
 * Verification: exact Jaccard of both lines, then distributed union-find. Where a
-  bucket still spans components, all its pairs across components are verified too.
+  bucket still spans components, all its pairs across components are verified
+  too, in blocks inside tasks.
 
 Rows are referred to by a 64-bit hash of doc_id and text. Defined results. Null and
 empty texts have no lines to remove and stay as they are. Rows equal in doc_id and
@@ -39,26 +40,35 @@ from .runtime import batches_of, cut, prepare, stored
 SIMILARITY = 0.8
 SHINGLE = 7
 ROWS = 4
-BANDS = 14
+_BAND_BITS = 4
+BANDS = 1 << _BAND_BITS
+#: A bucket is verified in blocks of so many lines and pairs of such blocks.
+BLOCK = 512
 _EMPTY = np.uint32(0xFFFFFFFF)
 _FLUSH = 1_500_000
 _SPACES = np.array([0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D], np.uint32)
 
 
 def lines_of(texts: list[str]) -> tuple[np.ndarray, ...]:
-    """Lower-cased code points of all texts; and start, end, row and number of each line that is not blank; and prefix hashes."""
-    code = np.frombuffer("\n".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).copy()
-    code[(code >= 65) & (code <= 90)] += np.uint32(32)
-    size = np.array([len(t) for t in texts])
+    """Prefix hashes of the lower-cased code points of all texts; and start, end, row and number of each line that is not blank."""
+    code = np.frombuffer("\n".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    size = np.fromiter(map(len, texts), np.int64, len(texts))
     begin = np.cumsum(size + 1) - size - 1
     newline = np.flatnonzero(code == 10)
     start = np.concatenate([[0], newline + 1])
     end = np.append(newline, len(code))
     row = np.searchsorted(begin, start, "right") - 1
     number = np.arange(len(start)) - np.searchsorted(start, begin)[row]
-    dark = np.concatenate([[0], np.cumsum((code > 0x20) | ~np.isin(code, _SPACES))])
-    full = dark[end] > dark[start]
-    prefix = np.concatenate([np.zeros(1, np.uint64), np.cumsum((code.astype(np.uint64) + np.uint64(1)) * A.powers(len(code)))]) if len(code) else np.zeros(1, np.uint64)
+    full = end > start
+    full[full] = np.maximum.reduceat(code, start[full]) > 32
+    for k in np.flatnonzero(~full & (end > start)).tolist():  # no character above the space: a control character may still be text
+        full[k] = not np.isin(code[start[k] : end[k]], _SPACES).all()
+    prefix = np.empty(len(code) + 1, np.uint64)
+    prefix[0] = 0
+    value = code.astype(np.uint64)
+    value += np.where(code - np.uint32(65) < 26, np.uint64(33), np.uint64(1))
+    value *= A.powers(len(code))
+    np.cumsum(value, out=prefix[1:])
     return prefix, start[full], end[full], row[full], number[full]
 
 
@@ -67,33 +77,48 @@ def _hashes(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarra
 
 
 def signatures(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Band keys (lines x bands) of the lines."""
+    """Band keys (lines x bands) of the lines, which come in order of their starts."""
     n = len(start)
-    count = np.maximum(end - start - SHINGLE + 1, 1)
-    at = A.ranges(start, count)
-    line = np.repeat(np.arange(n), count)
-    stop = np.minimum(at + SHINGLE, np.repeat(end, count))
-    h = A.mix((prefix[stop] - prefix[at]) * A.powers(len(prefix), True)[at])
-    table = np.full((ROWS, n * BANDS), _EMPTY, np.uint32)
-    base = line * BANDS
-    for r in range(ROWS):
-        if r == 2:
-            h = A.mix(h + np.uint64(0x632BE59BD9B4E019))
-        part = h.view(np.uint32)[r % 2 :: 2]
-        np.minimum.at(table[r], base + ((part.astype(np.uint64) * np.uint64(BANDS)) >> np.uint64(32)).astype(np.int64), part)
+    table = np.full((ROWS, (n + 1) * BANDS), _EMPTY, np.uint32)  # the last line takes the shingles that cross line ends
+
+    def lower(h: np.ndarray, base: np.ndarray) -> None:
+        for r in range(ROWS):
+            if r % 2 == 0:
+                h = h * np.uint64(0xA0761D6478BD642F + 2 * r)
+                h ^= h >> np.uint64(32)
+            part = h.view(np.uint32)[r % 2 :: 2]
+            np.minimum.at(table[r], base + (part >> np.uint32(32 - _BAND_BITS)), part)
+
+    count = np.maximum(end - start - SHINGLE + 1, 0)
+    if (count > 0).any():
+        h = (prefix[SHINGLE:] - prefix[:-SHINGLE]) * A.powers(len(prefix) - SHINGLE, True)
+        h ^= h >> np.uint64(29)
+        gap = np.diff(np.concatenate([[0], (start + count)])) - count  # places before each line that belong to none
+        owner = np.full(2 * n, n * BANDS)
+        owner[1::2] = np.arange(n) * BANDS
+        length = np.empty(2 * n, np.int64)
+        length[::2], length[1::2] = gap, count
+        base = np.repeat(owner, length)[: len(h)]
+        lower(h[: len(base)], base)
+    short = np.flatnonzero(count == 0)
+    if len(short):
+        lower(_hashes(prefix, start[short], end[short]), short * BANDS)
     key = np.zeros((n, BANDS), np.uint64)
     for r in range(ROWS):
-        mine = table[r].reshape(n, BANDS)
-        for _ in range(BANDS - 1):
-            empty = mine == _EMPTY
+        mine = table[r, : n * BANDS].reshape(n, BANDS)
+        holed = np.flatnonzero((mine == _EMPTY).any(1))
+        some = mine[holed]
+        for _ in range(BANDS - 1 if len(holed) else 0):
+            empty = some == _EMPTY
             if not empty.any():
                 break
-            mine = np.where(empty, np.roll(mine, -1, 1), mine)
+            some = np.where(empty, np.roll(some, -1, 1), some)
+        mine[holed] = some
         key = key * np.uint64(0x9FB21C651E98DF25) + mine
     return A.mix(key * np.uint64(0xD6E8FEB86659FD93) + np.arange(BANDS, dtype=np.uint64)[None, :])
 
 
-def _runs(column: pa.Array, limit: int = 1 << 18) -> Iterator[tuple[int, list[str]]]:
+def _runs(column: pa.Array, limit: int = 1 << 16) -> Iterator[tuple[int, list[str]]]:
     texts = [t or "" for t in column.to_pylist()]
     first, size = 0, 0
     for k, t in enumerate(texts):
@@ -105,6 +130,15 @@ def _runs(column: pa.Array, limit: int = 1 << 18) -> Iterator[tuple[int, list[st
         yield first, texts[first:]
 
 
+def _by_key(key: np.ndarray) -> np.ndarray:
+    """The order of keys, with equal keys together: a sort of their high bits with the place below, exact unless two keys share these."""
+    bits = np.uint64(max(len(key), 2).bit_length())
+    low = (np.uint64(1) << bits) - np.uint64(1)
+    order = (np.sort(key & ~low | np.arange(len(key), dtype=np.uint64)) & low).astype(np.int64)
+    sorted_ = key[order]
+    return order if (sorted_[1:] >= sorted_[:-1]).all() else np.argsort(key, kind="stable")
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumn("__loc", F.xxhash64("doc_id", "text"))
 
@@ -134,10 +168,8 @@ def candidates(keyed: DataFrame) -> DataFrame:
 
         def flush() -> pa.RecordBatch:
             key, node = (np.concatenate(x) for x in zip(*held, strict=True))
-            order = np.lexsort((node, key))
+            order = _by_key(key)
             key, node = key[order], node[order]
-            new = np.append(True, (key[1:] != key[:-1]) | (node[1:] != node[:-1]))
-            key, node = key[new], node[new]
             member = np.append(False, key[1:] == key[:-1])
             part = ((key >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int32)
             out = []
@@ -153,9 +185,10 @@ def candidates(keyed: DataFrame) -> DataFrame:
             for _, texts in _runs(batch.column(0)):
                 prefix, start, end, _, _ = lines_of(texts)
                 if len(start):
-                    node, first = np.unique(_hashes(prefix, start, end), return_index=True)
-                    held.append((signatures(prefix, start[first], end[first]).ravel(), np.repeat(node, BANDS)))
-                    volume += len(node) * BANDS
+                    node = _hashes(prefix, start, end)
+                    first = np.sort(np.unique(node, return_index=True)[1])
+                    held.append((signatures(prefix, start[first], end[first]).ravel(), np.repeat(node[first], BANDS)))
+                    volume += len(first) * BANDS
             if volume >= _FLUSH:
                 yield flush()
                 held, volume = [], 0
@@ -172,10 +205,9 @@ def candidates(keyed: DataFrame) -> DataFrame:
         def settle() -> pa.RecordBatch:
             nonlocal key, least
             both = np.concatenate(heads, 1)
-            order = np.lexsort((both[1], both[0]))
-            k, node = both[:, order]
+            k, node = both[:, _by_key(both[0])]
             new = np.append(True, k[1:] != k[:-1])
-            key, least = k[new], node[new]
+            key, least = k[new], np.minimum.reduceat(node, np.flatnonzero(new))
             low = least[np.cumsum(new) - 1]
             other = node != low
             return edges(node[other], low[other], k[other])
@@ -269,28 +301,88 @@ def components(keyed: DataFrame, every: DataFrame) -> DataFrame:
     with batches_of(keyed.sparkSession, 16):
         edges = stored(candidates(keyed))
     pairs = cut(edges.select("a", "b").distinct())
-    lines = _bodies(keyed, every, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+    lines = _bodies(keyed, every, cut(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()))
     tested = stored(verified(pairs, lines))
     found = connected(tested.where("same").select("a", "b"))
 
-    # buckets that still span components: the pairs that no star has tested
+    # buckets that still span components: there each pair across them is verified, inside the bucket's tasks
     def rooted(rows: DataFrame, name: str) -> DataFrame:
         of = found.select(F.col("node").alias(name), F.col("root").alias(f"r{name}"))
         return rows.join(of, name, "left").withColumn(f"r{name}", F.coalesce(f"r{name}", name))
 
     apart = rooted(rooted(tested.where("NOT same"), "a"), "b").where("ra <> rb").select("a", "b")
     keys = edges.join(apart, ["a", "b"]).select("key").distinct()
-    held = edges.join(keys, "key")
-    held = rooted(held.select("key", F.explode(F.array("a", "b")).alias("a")).distinct(), "a")
-    other = held.select("key", F.col("a").alias("b"), F.col("ra").alias("rb"))
-    rest = held.join(other, "key").where("ra <> rb AND a > b").select("a", "b").distinct()
-    rest = cut(rest.join(tested.select("a", "b"), ["a", "b"], "left_anti"))
-    if rest.isEmpty():
-        return found
-    more = cut(verified(rest, lines).where("same").select("a", "b"))
+    held = cut(edges.join(keys, "key").select("key", F.explode(F.array("a", "b")).alias("a")).distinct())
+    # bands of one family often have the same members: one of them will do
+    sets = held.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("a")).alias("x"), F.bit_xor(F.xxhash64("a", F.lit(1))).alias("y"))
+    sets = sets.where("n > 2").groupBy("n", "x", "y").agg(F.min("key").alias("key")).select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("parts"))
+    members = rooted(held.join(sets, "key"), "a")
+    mine = F.pmod(F.xxhash64("a"), F.col("parts")).cast("int")
+    members = members.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    members = members.select("key", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("q"), F.col("a").alias("node"), F.col("ra").alias("root"))
+    with batches_of(keyed.sparkSession, 2_000):
+        more = cut(_across(members.join(lines, "node")))
     return found if more.isEmpty() else connected(found.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
 
 
+def _across(members: DataFrame) -> DataFrame:
+    """Links (a, b) that join components inside the groups (key, p, q) of bounded size.
+
+    A group's shingles are numbered, so that a line is one long integer and a
+    pair costs an ``and`` and a bit count. Only links that join something come out.
+    """
+
+    def links(group: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
+        number: dict[str, int] = {}
+        found = [np.array([number.setdefault(x, len(number)) for x in _shingles(body.translate(_LOWER))]) for _, _, body in group]
+        bits = []
+        for at in found:
+            flags = np.zeros(len(number), bool)
+            flags[at] = True
+            bits.append(int.from_bytes(np.packbits(flags).tobytes()))
+        size = [len(x) for x in found]
+        parent: dict[int, int] = {root: root for _, root, _ in group}
+
+        def top(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = x = parent[parent[x]]
+            return x
+
+        out = []
+        order = sorted(range(len(group)), key=size.__getitem__)
+        for n, i in enumerate(order):
+            for j in order[n + 1 :]:
+                if size[i] < SIMILARITY * size[j]:
+                    break  # only longer ones follow
+                a, b = top(group[i][1]), top(group[j][1])
+                if a != b:
+                    common = (bits[i] & bits[j]).bit_count()
+                    if common >= SIMILARITY * (size[i] + size[j] - common):
+                        parent[a] = b
+                        out.append((group[i][0], group[j][0]))
+        return out
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, group = None, []
+
+        def done() -> pa.RecordBatch:
+            pairs = links(group)
+            return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if row[:3] != now and group:
+                    yield done()
+                    group = []
+                now = row[:3]
+                group.append(row[3:])
+        if group:
+            yield done()
+
+    source = members.select("key", "p", "q", "node", "root", "body").repartition("key", "p", "q").sortWithinPartitions("key", "p", "q")
+    return source.mapInArrow(rows, "a long, b long")
+
+
 def removed_lines(docs: DataFrame) -> DataFrame:
     """(__loc, lines): the numbers of the lines that go, for every row that loses some."""
     prepare(docs.sparkSession)
