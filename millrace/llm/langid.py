@@ -19,14 +19,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import arrays as A
 from .runtime import arrow_map, prepare
 
 BITS = 14
-#: Most documents of one language that are counted (documented bound).
+#: About so many documents of one language are counted, at most (documented bound).
 MAX_ROWS_PER_LANGUAGE = 1000
 SMOOTHING = 0.5
 UNDETERMINED = "und"
@@ -93,16 +93,18 @@ def _runs(texts: list[str], limit: int = 1 << 18) -> Iterator[list[str]]:
 
 
 def train(docs: DataFrame, keep: Column | None = None, *, limit: int = MAX_ROWS_PER_LANGUAGE, bits: int = BITS) -> LanguageModel:
-    """Counts at most ``limit`` documents of each non-null language for which ``keep`` holds.
+    """Counts about ``limit`` documents of each non-null language for which ``keep`` holds, all if it has no more.
 
-    The sample is chosen from ids alone; the window keeps ``limit`` rows of a
-    language in each task before it shuffles, so a hot language stays cheap.
+    The sample is chosen from ids alone, by comparing a hash of doc_id with the
+    language's sampling rate; the rates come from pre-aggregated counts, so a hot
+    language is never gathered.
     """
     prepare(docs.sparkSession)
     ids = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
     ids = ids.where(keep) if keep is not None else ids
-    ids = ids.select("doc_id", F.col("lang").alias("language"), F.xxhash64("doc_id").alias("draw"))
-    ids = ids.withColumn("place", F.row_number().over(Window.partitionBy("language").orderBy("draw", "doc_id"))).where(F.col("place") <= limit)
+    ids = ids.select("doc_id", F.col("lang").alias("language"))
+    rates = ids.groupBy("language").agg((F.lit(float(limit)) / F.count(F.lit(1))).alias("rate"))
+    ids = ids.join(rates, "language").where(F.shiftrightunsigned(F.xxhash64("doc_id"), 1) / F.lit(2.0**63) < F.col("rate"))
     ids = ids.groupBy("doc_id").agg(F.min("language").alias("language"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
