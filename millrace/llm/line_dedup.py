@@ -251,11 +251,13 @@ def _by_part(function):
     return over
 
 
-def _shingles(line: str) -> set[str]:
-    return {line[k : k + SHINGLE] for k in range(max(len(line) - SHINGLE + 1, 1))}
-
-
-_LOWER = {k: k + 32 for k in range(65, 91)}
+def _shingle_hashes(bodies: list[str]) -> list[list[int]]:
+    """64-bit hashes of each line's shingles, with repeats; two different shingles of a pair share one with probability below 1e-12."""
+    prefix, start, end, _, _ = lines_of(bodies)
+    count = np.maximum(end - start - SHINGLE + 1, 0)
+    h = A.mix((prefix[SHINGLE:] - prefix[:-SHINGLE]) * A.powers(len(prefix) - SHINGLE, True)) if len(prefix) > SHINGLE else np.zeros(0, np.uint64)
+    whole = _hashes(prefix, start, end).tolist()
+    return [h[s : s + c].tolist() if c else [w] for s, c, w in zip(start.tolist(), count.tolist(), whole, strict=True)]
 
 
 def verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
@@ -265,13 +267,16 @@ def verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
         last, held = None, set()
         for batch in batches:
             same = []
-            for b, x, y in zip(*(batch.column(k).to_pylist() for k in (1, 2, 3)), strict=True):
-                if b != last:
-                    last, held = b, _shingles(y.translate(_LOWER))
-                mine = _shingles(x.translate(_LOWER))
-                common = len(mine & held)
-                same.append(common >= SIMILARITY * (len(mine) + len(held) - common))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(same)], ["a", "b", "same"])
+            for first in range(0, batch.num_rows, 100):
+                part = batch.slice(first, 100)
+                left, right = (_shingle_hashes(part.column(k).to_pylist()) for k in (2, 3))
+                for b, x, y in zip(part.column(1).to_pylist(), left, right, strict=True):
+                    if b != last:
+                        last, held = b, set(y)
+                    mine = set(x)
+                    common = len(mine & held)
+                    same.append(common >= SIMILARITY * (len(mine) + len(held) - common))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(same, pa.bool_())], ["a", "b", "same"])
 
     first = lines.select(F.col("node").alias("a"), F.col("body").alias("x"))
     second = lines.select(F.col("node").alias("b"), F.col("body").alias("y"))
@@ -333,8 +338,9 @@ def _across(members: DataFrame) -> DataFrame:
     """
 
     def links(group: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
-        number: dict[str, int] = {}
-        found = [np.array([number.setdefault(x, len(number)) for x in _shingles(body.translate(_LOWER))]) for _, _, body in group]
+        number: dict[int, int] = {}
+        hashes = [x for k in range(0, len(group), 100) for x in _shingle_hashes([body for *_, body in group[k : k + 100]])]
+        found = [np.array([number.setdefault(x, len(number)) for x in set(line)]) for line in hashes]
         bits = []
         for at in found:
             flags = np.zeros(len(number), bool)
