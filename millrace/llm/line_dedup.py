@@ -26,7 +26,7 @@ table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -139,7 +139,7 @@ def _by_key(key: np.ndarray) -> np.ndarray:
     return order if (sorted_[1:] >= sorted_[:-1]).all() else np.argsort(key, kind="stable")
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
+def keyed_rows(docs: DataFrame) -> DataFrame:
     return docs.withColumn("__loc", F.xxhash64("doc_id", "text"))
 
 
@@ -157,8 +157,17 @@ def occurrences(keyed: DataFrame) -> DataFrame:
     return source.mapInArrow(rows, f"node long, __loc long, doc_id {source.schema['doc_id'].dataType.simpleString()}, line int")
 
 
-def candidates(keyed: DataFrame) -> DataFrame:
-    """(a, b, key): each bucket as a star; b is its least line."""
+def _line_bands(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    for _, texts in _runs(column):
+        prefix, start, end, _, _ = lines_of(texts)
+        if len(start):
+            node = _hashes(prefix, start, end)
+            first = np.sort(np.unique(node, return_index=True)[1])
+            yield signatures(prefix, start[first], end[first]), node[first]
+
+
+def candidates(keyed: DataFrame, banded: Callable[[pa.Array], Iterator[tuple[np.ndarray, np.ndarray]]] = _line_bands) -> DataFrame:
+    """(a, b, key): each bucket as a star; b is its least node. ``banded`` gives band keys (nodes x bands) and nodes of a text column."""
     spark = keyed.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -182,13 +191,9 @@ def candidates(keyed: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(), pa.int32(), pa.binary()), strict=True)], ["part", "kind", "body"])
 
         for batch in batches:
-            for _, texts in _runs(batch.column(0)):
-                prefix, start, end, _, _ = lines_of(texts)
-                if len(start):
-                    node = _hashes(prefix, start, end)
-                    first = np.sort(np.unique(node, return_index=True)[1])
-                    held.append((signatures(prefix, start[first], end[first]).ravel(), np.repeat(node[first], BANDS)))
-                    volume += len(first) * BANDS
+            for keys, node in banded(batch.column(0)):
+                held.append((keys.ravel(), np.repeat(node, keys.shape[1])))
+                volume += keys.size
             if volume >= _FLUSH:
                 yield flush()
                 held, volume = [], 0
@@ -260,7 +265,7 @@ def _shingle_hashes(bodies: list[str]) -> list[list[int]]:
     return [h[s : s + c].tolist() if c else [w] for s, c, w in zip(start.tolist(), count.tolist(), whole, strict=True)]
 
 
-def verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, lines: DataFrame, shingles: Callable[[list[str]], list[list[int]]] = _shingle_hashes) -> DataFrame:
     """(a, b, same): whether the exact similarity of each pair of nodes reaches the threshold."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -269,7 +274,7 @@ def verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
             same = []
             for first in range(0, batch.num_rows, 100):
                 part = batch.slice(first, 100)
-                left, right = (_shingle_hashes(part.column(k).to_pylist()) for k in (2, 3))
+                left, right = (shingles(part.column(k).to_pylist()) for k in (2, 3))
                 for b, x, y in zip(part.column(1).to_pylist(), left, right, strict=True):
                     if b != last:
                         last, held = b, set(y)
@@ -305,9 +310,14 @@ def components(keyed: DataFrame, every: DataFrame) -> DataFrame:
     """(node, root) of all lines that have a near-duplicate."""
     with batches_of(keyed.sparkSession, 16):
         edges = stored(candidates(keyed))
+    return linked(edges, lambda nodes: _bodies(keyed, every, nodes))
+
+
+def linked(edges: DataFrame, bodies: Callable[[DataFrame], DataFrame], shingles: Callable[[list[str]], list[list[int]]] = _shingle_hashes, block: int = BLOCK) -> DataFrame:
+    """(node, root) of all nodes with a near-duplicate among the candidates (a, b, key); ``bodies`` gives (node, body) of wanted nodes."""
     pairs = cut(edges.select("a", "b").distinct())
-    lines = _bodies(keyed, every, cut(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()))
-    tested = stored(verified(pairs, lines))
+    lines = bodies(cut(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()))
+    tested = stored(verified(pairs, lines, shingles))
     found = connected(tested.where("same").select("a", "b"))
 
     # buckets that still span components: there each pair across them is verified, inside the bucket's tasks
@@ -320,17 +330,17 @@ def components(keyed: DataFrame, every: DataFrame) -> DataFrame:
     held = cut(edges.join(keys, "key").select("key", F.explode(F.array("a", "b")).alias("a")).distinct())
     # bands of one family often have the same members: one of them will do
     sets = held.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("a")).alias("x"), F.bit_xor(F.xxhash64("a", F.lit(1))).alias("y"))
-    sets = sets.where("n > 2").groupBy("n", "x", "y").agg(F.min("key").alias("key")).select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("parts"))
+    sets = sets.where("n > 2").groupBy("n", "x", "y").agg(F.min("key").alias("key")).select("key", F.ceil(F.col("n") / block).cast("int").alias("parts"))
     members = rooted(held.join(sets, "key"), "a")
     mine = F.pmod(F.xxhash64("a"), F.col("parts")).cast("int")
     members = members.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     members = members.select("key", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("q"), F.col("a").alias("node"), F.col("ra").alias("root"))
-    with batches_of(keyed.sparkSession, 2_000):
-        more = cut(_across(members.join(lines, "node")))
+    with batches_of(edges.sparkSession, 2_000):
+        more = cut(_across(members.join(lines, "node"), shingles))
     return found if more.isEmpty() else connected(found.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
 
 
-def _across(members: DataFrame) -> DataFrame:
+def _across(members: DataFrame, shingles: Callable[[list[str]], list[list[int]]] = _shingle_hashes) -> DataFrame:
     """Links (a, b) that join components inside the groups (key, p, q) of bounded size.
 
     A group's shingles are numbered, so that a line is one long integer and a
@@ -339,7 +349,7 @@ def _across(members: DataFrame) -> DataFrame:
 
     def links(group: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
         number: dict[int, int] = {}
-        hashes = [x for k in range(0, len(group), 100) for x in _shingle_hashes([body for *_, body in group[k : k + 100]])]
+        hashes = [x for k in range(0, len(group), 100) for x in shingles([body for *_, body in group[k : k + 100]])]
         found = [np.array([number.setdefault(x, len(number)) for x in set(line)]) for line in hashes]
         bits = []
         for at in found:
@@ -392,7 +402,7 @@ def _across(members: DataFrame) -> DataFrame:
 def removed_lines(docs: DataFrame) -> DataFrame:
     """(__loc, lines): the numbers of the lines that go, for every row that loses some."""
     prepare(docs.sparkSession)
-    keyed = _keyed(docs)
+    keyed = keyed_rows(docs)
     every = stored(occurrences(keyed))
     found = components(keyed, every)
     grouped = every.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -406,7 +416,7 @@ def dedup(docs: DataFrame, count_column: str | None = "n_removed_lines") -> Data
     """docs with the near-duplicate lines removed and, unless it is None, a column with their number."""
     if count_column in docs.columns:
         raise ValueError(f"docs has a column {count_column!r}; name another count_column, or None")
-    joined = _keyed(docs).join(removed_lines(docs).withColumnRenamed("lines", "__gone"), "__loc", "left").drop("__loc")
+    joined = keyed_rows(docs).join(removed_lines(docs).withColumnRenamed("lines", "__gone"), "__loc", "left").drop("__loc")
     names, at = docs.columns, docs.columns.index("text")
     count = names.index("n_chars") if "n_chars" in names else None
 

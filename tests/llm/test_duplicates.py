@@ -8,7 +8,8 @@ import numpy as np
 import pytest
 import xxhash
 
-from millrace.llm import decontam, graph, line_dedup, simhash, suffixdup
+import corpus_pipeline
+from millrace.llm import decontam, graph, line_dedup, simhash, suffixdup, worddup
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 DOCS = "doc_id long, text string"
@@ -112,6 +113,63 @@ def test_simhash_on_nulls_repeats_and_nothing(spark):
     assert simhash.keep_one(docs.where("false")).isEmpty()
 
 
+def word_sets(rows, width=5):
+    out = {}
+    for k, t in rows:
+        w = WORD.findall(lower(t or ""))
+        out[k] = {" ".join(w[i : i + width]) for i in range(len(w) - width + 1)} or ({" ".join(w)} if w else set())
+    return out
+
+
+def test_near_dedup_stage_links_by_jaccard(spark):
+    rng = random.Random(9)
+    rows = []
+    for _ in range(60):
+        t = prose(rng, rng.choice([3, 6, 14, 40, 90, 150]))
+        rows.append(t)
+        for _ in range(rng.randint(0, 3)):
+            w = t.split(" ")
+            if rng.random() < 0.7:
+                w = w + ["end", "mark", "x"][: rng.randint(1, 3)]
+            else:
+                w[rng.randrange(len(w))] = "New"
+            rows.append(" ".join(w))
+            if rng.random() < 0.4:
+                t = rows[-1]  # chains
+    rows = list(enumerate([*rows, None, "", " \n", "A  b", "a B", "y " * 3000]))
+    sets = word_sets(rows)
+    links = [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    prints = {k: brute_fingerprint(t) for k, t in rows}
+    assert sum((prints[a] ^ prints[b]).bit_count() > 3 for a, b in links) > 20  # beyond op1's radius
+    docs = spark.createDataFrame([(*r, "e") for r in rows], DOCS + ", root string")
+    kept = corpus_pipeline.apply_near_dedup(spark, docs, "")
+    assert kept.schema == docs.schema
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(roots(sets, links).values()))
+
+
+def test_near_dedup_stage_on_nulls_repeats_and_nothing(spark):
+    docs = spark.createDataFrame([(1, "a b c d"), (1, "a b c d"), (1, "other words here now"), (None, "a b c d"), (None, "lonely text"), (None, "lonely text"), (7, None)], DOCS)
+    kept = sorted(((r.doc_id, r.text) for r in worddup.keep_one(docs).collect()), key=str)
+    assert kept == sorted([(1, "a b c d"), (1, "other words here now"), (None, "lonely text"), (7, None)], key=str)
+    assert worddup.keep_one(docs.where("false")).isEmpty()
+
+
+def test_near_dedup_stage_verifies_hot_buckets(spark, monkeypatch):
+    monkeypatch.setattr(worddup, "BLOCK", 8)
+    rng = random.Random(4)
+    base = prose(rng, 60).split(" ")
+    rows = []
+    for k in range(70):
+        w = list(base)
+        for _ in range(rng.randint(1, 2)):
+            w[rng.randrange(60)] = f"new{k}"
+        rows.append((k, " ".join(w)))
+    sets = word_sets(rows)
+    links = [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    got = sorted(r.doc_id for r in worddup.keep_one(spark.createDataFrame(rows, DOCS)).collect())
+    assert got == sorted(set(roots(sets, links).values()))
+
+
 def brute_lines(rows):
     occurrences = [(lower(x), k, n) for k, t in rows for n, x in enumerate((t or "").split("\n")) if x.strip(" \t\n\v\f\r")]
     keys = sorted({o[0] for o in occurrences})
