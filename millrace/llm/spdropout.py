@@ -2,19 +2,21 @@
 
 The vocabulary of a public SentencePiece BPE model is read; nothing is trained.
 Encoding works through an agenda of candidate merges, best score first and
-leftmost among equals. A candidate is skipped when a keyed hash of (seed, chunk
-text, variant, candidate's start, middle and end) falls below the dropout rate;
-a skipped candidate never comes back, but a later merge beside it makes a new
-one. The key holds no random state, so any task, retry or cluster size gives the
-same pieces. Each occurrence of a chunk draws one of ``variants`` variants by a
-hash of (seed, doc_id, place in the text), so equal words are segmented in
-different ways.
+leftmost among equals. A candidate is skipped when a keyed hash of (seed, doc_id,
+the chunk's place in the text, candidate's start, middle and end) falls below the
+dropout rate; a skipped candidate never comes back, but a later merge beside it makes
+a new one. The key holds no random state, so any task, retry or cluster size gives the
+same pieces. Every occurrence of a chunk has its own draws.
 
 No piece holds a word mark after another character, so a text is cut before its
-spaces and at newlines without changing any merge; equal (chunk, variant) pairs
-are encoded once in a worker. Short chunks run the agenda in numpy, all rows at a
-time; chunks over ``LONG`` characters use a heap. With dropout 0 the pieces are those of the
-library. A literal word mark (U+2581) is written in byte pieces, which the
+spaces and at newlines without changing any merge. A worker remembers agendas, not
+draws: a *node* is a chunk with the set of candidates skipped so far, and holds the
+pieces and the candidates that this agenda met for the first time. An occurrence starts
+at its chunk's node without skips and draws for the node's candidates; it goes on to the
+node that skips those drawn too, until a node's draws skip nothing: from there its own
+agenda would be the same. A node is made when it is wanted again. Short chunks run the agenda in numpy, all rows at a
+time; chunks over ``LONG`` characters use a heap, for each occurrence. With dropout 0 the
+pieces are those of the library. A literal word mark (U+2581) is written in byte pieces, which the
 library does not do, so that it is not read back as a space.
 
 Defined results. Null and empty texts have no pieces and decode to the empty
@@ -40,10 +42,13 @@ from .runtime import arrow_map, prepare
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT = 0.1
-VARIANTS = 4
 LONG = 64
-#: Chunks that a worker remembers before it starts afresh.
-REMEMBERED = 250_000
+#: Chunks, and transitions between nodes, that a worker remembers before it starts afresh.
+REMEMBERED = 400_000
+#: A node with more new candidates is not remembered: its occurrences run their own agendas.
+_MASK_BITS = 40
+#: Instead of a node: never met, and met once, when its occurrence ran its own agenda.
+_NEW, _ONCE = -1, -2
 MARK = "▁"
 _CHUNK = re.compile(r" *[^ \n]+|\n| +")
 _NONE = np.int32(1 << 30)
@@ -130,6 +135,13 @@ def _skipped(key: np.ndarray, start: np.ndarray, middle: np.ndarray, end: np.nda
     return A.mix(key + start.astype(np.uint64) * _K2 + middle.astype(np.uint64) * _K3 + end.astype(np.uint64) * _K4) < np.uint64(below)
 
 
+def _among(codes: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """Which codes are in the sorted array ``of``."""
+    if not len(of):
+        return np.zeros(len(codes), bool)
+    return of[np.minimum(np.searchsorted(of, codes), len(of) - 1)] == codes
+
+
 def _agenda(v: Vocabulary, symbols: list[int], key: int, below: int) -> tuple[list[int], list[int]]:
     """Heap form of the agenda for one chunk: its symbols and their starts."""
     n = len(symbols)
@@ -161,10 +173,12 @@ def _agenda(v: Vocabulary, symbols: list[int], key: int, below: int) -> tuple[li
     return [ids[i] for i in keep], keep
 
 
-def _agenda_rows(v: Vocabulary, ids: np.ndarray, length: np.ndarray, key: np.ndarray, below: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _agenda_rows(v: Vocabulary, ids: np.ndarray, length: np.ndarray, key: np.ndarray, below: int, skips: np.ndarray | None = None, met: list[np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The agenda of many short chunks at once: symbols and starts (rows x columns), and counts.
 
-    Unused columns hold -1. Each turn pops the best candidate of every row.
+    Unused columns hold -1. Each turn pops the best candidate of every row. With
+    ``skips``, the candidates in it (sorted codes) are skipped instead of drawn ones,
+    and ``met`` takes the codes of all candidates.
     """
     rows, width = ids.shape
     ids, count = ids.copy(), length.copy()
@@ -172,7 +186,13 @@ def _agenda_rows(v: Vocabulary, ids: np.ndarray, length: np.ndarray, key: np.nda
 
     def candidates(r: np.ndarray, k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         merged, rank = v.merge(ids[r, k], ids[r, k + 1])
-        if below:
+        if skips is not None:
+            some = np.flatnonzero(rank != _NONE)
+            rows_, k_ = r[some], k[some]
+            code = rows_ << 21 | begin[rows_, k_].astype(np.int64) << 14 | begin[rows_, k_ + 1] << 7 | begin[rows_, k_ + 2]
+            met.append(code)
+            rank[some[_among(code, skips)]] = _NONE
+        elif below:
             rank = np.where(_skipped(key[r], begin[r, k], begin[r, k + 1], begin[r, k + 2], below), _NONE, rank)
         return merged, rank
 
@@ -210,18 +230,25 @@ def _agenda_rows(v: Vocabulary, ids: np.ndarray, length: np.ndarray, key: np.nda
 
 
 class Encoder:
-    """Encodes texts in one worker, remembering (chunk, variant) pairs."""
+    """Encodes texts in one worker, remembering nodes. ``variants`` has no effect any more."""
 
-    def __init__(self, v: Vocabulary, seed: int, dropout: float, variants: int):
-        self.v, self.seed, self.variants = v, seed, variants if dropout > 0 else 1
+    def __init__(self, v: Vocabulary, seed: int, dropout: float, variants: int | None = None):
+        self.v, self.seed = v, A.mix(np.array([seed % (1 << 64)], np.uint64))[0]
         self.below = min(int(dropout * 2.0**64), (1 << 64) - 1)
         self._forget()
 
     def _forget(self) -> None:
         self.index: dict[str, int] = {}
         self.chunks: list[str] = []
-        self.slot = np.full(1 << 12, -1, np.int64)
-        self.flat, self.start, self.length = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        none = np.zeros(0, np.int64)
+        self.symbols, self.first, self.size = np.zeros(0, np.int32), none, none  # of each chunk
+        self.root = none
+        self.child: dict[int, int] = {}
+        # of each node: chunk, parent, what it skips of the parent's candidates, its candidates and its pieces
+        self.chunk, self.parent, self.skip = none, none, none
+        self.cand, self.cand_start, self.cand_n = none, none, none
+        self.salt = np.zeros(0, np.uint64)
+        self.flat, self.start, self.length = np.zeros(0, np.int32), none, none
 
     def _finish(self, chunk: str, symbols: list[int], starts: list[int]) -> list[int]:
         """Writes symbols outside the vocabulary as byte pieces."""
@@ -233,43 +260,107 @@ class Encoder:
                 out += self.v.byte_id[np.frombuffer(chunk[b].encode(), np.uint8)].tolist()
         return out
 
-    def _encode(self, codes: np.ndarray) -> None:
-        """Encodes (chunk, variant) codes that are not known yet."""
-        chunks = [self.chunks[c] for c in (codes // self.variants).tolist()]
-        key = np.array([xxhash.xxh64_intdigest(c, self.seed) for c in chunks], np.uint64) + (codes % self.variants).astype(np.uint64) * _K1
-        key = A.mix(key)
-        length = np.array([len(c) for c in chunks])
-        done: list = [None] * len(chunks)
+    def _solve(self, chunk: np.ndarray, key: np.ndarray | None, parent: np.ndarray | None = None, skip: np.ndarray | None = None) -> tuple:
+        """Pieces (flat) and their numbers for chunks: with ``key`` by own draws, else as nodes; then also new candidates (flat) and their numbers."""
+        length = self.size[chunk]
+        done: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # chunks' places, sizes, pieces
+        cands: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for n in np.flatnonzero(length > LONG).tolist():
-            c = chunks[n]
-            done[n] = np.array(self._finish(c, *_agenda(self.v, [self.v.char.get(x, -1) for x in c], int(key[n]), self.below)), np.int32)
+            c = int(chunk[n])
+            symbols = self.symbols[self.first[c] : self.first[c] + self.size[c]].tolist()
+            got = self._finish(self.chunks[c], *_agenda(self.v, symbols, int(key[n]) if key is not None else 0, self.below if key is not None else 0))
+            done.append((np.array([n]), np.array([len(got)]), np.array(got, np.int32)))
         width = 0
         for top in (4, 6, 8, 10, 12, 16, 24, 40, LONG):
             group = np.flatnonzero((length > width) & (length <= top))
             width = top
-            for at in range(0, len(group), 1 << 15):
-                part = group[at : at + (1 << 15)]
+            for at in range(0, len(group), 1 << 14):
+                part = group[at : at + (1 << 14)]
+                size = length[part]
                 ids = np.full((len(part), top), -1, np.int32)
-                for r, n in enumerate(part.tolist()):
-                    ids[r, : length[n]] = [self.v.char.get(x, -1) for x in chunks[n]]
-                ids, begin, count = _agenda_rows(self.v, ids, length[part], key[part], self.below)
+                ids[np.arange(top)[None, :] < size[:, None]] = self.symbols[A.ranges(self.first[chunk[part]], size)]
+                if key is not None:
+                    ids, begin, count = _agenda_rows(self.v, ids, size, key[part], self.below)
+                else:
+                    drawn, skips = self._chain(parent[part], skip[part])
+                    met = [np.zeros(0, np.int64)]
+                    ids, begin, count = _agenda_rows(self.v, ids, size, np.zeros(0, np.uint64), 0, skips, met)
+                    code = np.unique(np.concatenate(met))
+                    code = code[~_among(code, drawn)]
+                    cands.append((part, np.bincount(code >> 21, minlength=len(part)), code & ((1 << 21) - 1)))
                 valid = np.arange(top)[None, :] < count[:, None]
-                odd = (((ids < 0) | (ids >= self.v.size)) & valid).any(1)
-                for r, n in enumerate(part.tolist()):
-                    row = ids[r, : count[r]]
-                    done[n] = np.array(self._finish(chunks[n], row.tolist(), begin[r, : count[r]].tolist()), np.int32) if odd[r] else row
-        size = np.array([len(x) for x in done], np.int64)
-        base = len(self.start)
-        self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(size) - size])
-        self.length = np.concatenate([self.length, size])
-        self.flat = np.concatenate([self.flat, *done])
-        self.slot[codes] = base + np.arange(len(codes))
+                odd = np.flatnonzero((((ids < 0) | (ids >= self.v.size)) & valid).any(1))
+                if len(odd):
+                    plain = np.ones(len(part), bool)
+                    plain[odd] = False
+                    done.append((part[plain], count[plain], ids[valid & plain[:, None]]))
+                    lists = [self._finish(self.chunks[chunk[part[r]]], ids[r, : count[r]].tolist(), begin[r, : count[r]].tolist()) for r in odd.tolist()]
+                    done.append((part[odd], np.array([len(x) for x in lists]), np.array([x for y in lists for x in y], np.int32)))
+                else:
+                    done.append((part, count, ids[valid]))
+        return (*_in_order(len(chunk), done, np.int32), *_in_order(len(chunk), cands, np.int64))
+
+    def _chain(self, parent: np.ndarray, skip: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted codes of the candidates that the ancestors of new nodes met, and of the skipped ones."""
+        row = np.arange(len(parent))
+        drawn, skipped = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        while True:
+            some = parent >= 0
+            row, parent, skip = row[some], parent[some], skip[some]
+            if not len(row):
+                return np.sort(np.concatenate(drawn)), np.sort(np.concatenate(skipped))
+            n = self.cand_n[parent]
+            code = np.repeat(row, n) << 21 | self.cand[A.ranges(self.cand_start[parent], n)]
+            drawn.append(code)
+            skipped.append(code[np.repeat(skip, n) >> A.ranges(np.zeros(len(n), np.int64), n) & 1 == 1])
+            parent, skip = self.parent[parent], self.skip[parent]
+
+    def _add(self, chunk: np.ndarray, parent: np.ndarray, skip: np.ndarray) -> np.ndarray:
+        """Makes nodes and gives their numbers."""
+        flat, size, cand, n = self._solve(chunk, None, parent, skip)
+        base = len(self.chunk)
+        for name, new in (("chunk", chunk), ("parent", parent), ("skip", skip), ("cand_start", len(self.cand) + np.cumsum(n) - n), ("start", len(self.flat) + np.cumsum(size) - size), ("length", size), ("cand", cand), ("flat", flat)):
+            setattr(self, name, np.concatenate([getattr(self, name), new]))
+        own = (n > _MASK_BITS) | (self.size[chunk] > LONG)
+        self.cand_n = np.concatenate([self.cand_n, np.where(own, -1, n)])
+        start, middle, end = (x.astype(np.uint64) for x in (cand >> 14, cand >> 7 & 127, cand & 127))
+        self.salt = np.concatenate([self.salt, start * _K2 + middle * _K3 + end * _K4])
+        return base + np.arange(len(chunk))
+
+    def _draw(self, node: np.ndarray, key: np.ndarray) -> np.ndarray:
+        """Moves each occurrence from its chunk's first node to its last one; gives the occurrences that need an agenda of their own."""
+        own, live = [np.flatnonzero(node < 0)], np.flatnonzero(node >= 0)
+        while len(live):
+            n = self.cand_n[node[live]]
+            own.append(live[n < 0])
+            live, n = live[n > 0], n[n > 0]
+            at = A.ranges(self.cand_start[node[live]], n)
+            hit = np.flatnonzero(A.mix(np.repeat(key[live], n) + self.salt[at]) < np.uint64(self.below))
+            ends = np.cumsum(n)
+            row = np.searchsorted(ends, hit, "right")
+            mask = np.zeros(len(live), np.int64)
+            np.bitwise_or.at(mask, row, np.int64(1) << (hit - (ends - n)[row]))
+            live, mask = live[mask > 0], mask[mask > 0]
+            want, back, times = np.unique(node[live].astype(np.uint64) << np.uint64(_MASK_BITS) | mask.astype(np.uint64), return_inverse=True, return_counts=True)
+            get = self.child.get
+            found = np.array([get(x, _NEW) for x in want.tolist()], np.int64)
+            once = (found == _NEW) & (times == 1)
+            self.child.update(dict.fromkeys(want[once].tolist(), _ONCE))
+            own.append(live[once[back]])
+            live, back = live[~once[back]], back[~once[back]]
+            new = np.flatnonzero((found < 0) & ~once)
+            if len(new):
+                parent = (want[new] >> np.uint64(_MASK_BITS)).astype(np.int64)
+                found[new] = self._add(self.chunk[parent], parent, (want[new] & np.uint64((1 << _MASK_BITS) - 1)).astype(np.int64))
+                self.child.update(zip(want[new].tolist(), found[new].tolist(), strict=True))
+            node[live] = found[back]
+        return np.sort(np.concatenate(own))
 
     def encode(self, texts: list[str], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Piece ids of all texts and the texts' bounds; ``keys`` stand for the documents' ids."""
-        if len(self.index) > REMEMBERED:
+        if max(len(self.index), len(self.child)) > REMEMBERED:
             self._forget()
-        index, got, counts = self.index, [], []
+        index, got, counts, known = self.index, [], [], len(self.chunks)
         for t in texts:
             found = _CHUNK.findall(" " + t) if t else []
             counts.append(len(found))
@@ -279,20 +370,49 @@ class Encoder:
                     k = index[c] = len(index)
                     self.chunks.append(c)
                 got.append(k)
+        if len(self.chunks) > known:
+            fresh, get = self.chunks[known:], self.v.char.get
+            size = np.array([len(c) for c in fresh], np.int64)
+            self.first = np.concatenate([self.first, len(self.symbols) + np.cumsum(size) - size])
+            self.size = np.concatenate([self.size, size])
+            self.symbols = np.concatenate([self.symbols, np.array([get(x, -1) for c in fresh for x in c], np.int32)])
+            self.root = np.concatenate([self.root, np.full(len(fresh), _NEW)])
         counts_ = np.array(counts, np.int64)
         ordinal = A.ranges(np.zeros(len(texts), np.int64), counts_)
-        draw = A.mix(np.repeat(keys, counts_) + ordinal.astype(np.uint64) * _K2) >> np.uint64(33)
-        code = np.array(got, np.int64) * self.variants + (draw % np.uint64(self.variants)).astype(np.int64)
-        need = len(index) * self.variants
-        if need > len(self.slot):
-            self.slot = np.concatenate([self.slot, np.full(max(need, 2 * len(self.slot)) - len(self.slot), -1, np.int64)])
-        fresh = np.unique(code[self.slot[code] < 0])
-        if len(fresh):
-            self._encode(fresh)
-        entry = self.slot[code]
-        size = self.length[entry]
+        key = A.mix(np.repeat(keys, counts_) + ordinal.astype(np.uint64) * _K2)
+        key = A.mix(key ^ self.seed)
+        chunk = np.array(got, np.int64)
+        times = np.bincount(chunk, minlength=len(self.chunks))
+        new = np.flatnonzero((times > 0) & (self.root < 0) & ((times > 1) | (self.root == _ONCE) | (self.below == 0)))
+        self.root[(times > 0) & (self.root < 0)] = _ONCE
+        none = np.full(len(new), -1)
+        self.root[new] = self._add(new, none, none)
+        node = self.root[chunk]
+        own = self._draw(node, key) if self.below else np.zeros(0, np.int64)
+        size = np.zeros(len(node), np.int64)
+        size[node >= 0] = self.length[node[node >= 0]]
+        flat, size[own], *_ = self._solve(chunk[own], key[own]) if len(own) else (self.flat[:0], size[own])
         bound = np.concatenate([[0], np.cumsum(size)])
-        return self.flat[A.ranges(self.start[entry], size)], bound[np.concatenate([[0], np.cumsum(counts_)])]
+        if len(own):
+            ids = np.empty(bound[-1], np.int32)
+            ids[A.ranges(bound[own], size[own])] = flat
+            shared = np.ones(len(node), bool)
+            shared[own] = False
+            ids[A.ranges(bound[:-1][shared], size[shared])] = self.flat[A.ranges(self.start[node[shared]], size[shared])]
+        else:
+            ids = self.flat[A.ranges(self.start[node], size)]
+        return ids, bound[np.concatenate([[0], np.cumsum(counts_)])]
+
+
+def _in_order(n: int, parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """Lists of n places, given in parts of (places, sizes, flat values), as one flat array and the sizes."""
+    size = np.zeros(n, np.int64)
+    for place, sizes, _ in parts:
+        size[place] = sizes
+    out, start = np.empty(int(size.sum()), kind), np.cumsum(size) - size
+    for place, sizes, values in parts:
+        out[A.ranges(start[place], np.asarray(sizes))] = values
+    return out, size
 
 
 def decode_ids(v: Vocabulary, ids: np.ndarray, bound: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -309,18 +429,18 @@ def decode_ids(v: Vocabulary, ids: np.ndarray, bound: np.ndarray) -> tuple[np.nd
 
 
 @lru_cache(maxsize=2)
-def _encoder(proto: bytes, seed: int, dropout: float, variants: int) -> Encoder:
-    return Encoder(vocabulary(proto), seed, dropout, variants)
+def _encoder(proto: bytes, seed: int, dropout: float) -> Encoder:
+    return Encoder(vocabulary(proto), seed, dropout)
 
 
-def encode(docs: DataFrame, *, model_path: str = MODEL_PATH, seed: int = 13, dropout: float = DROPOUT, variants: int = VARIANTS) -> DataFrame:
+def encode(docs: DataFrame, *, model_path: str = MODEL_PATH, seed: int = 13, dropout: float = DROPOUT) -> DataFrame:
     """doc_id, ids (array of piece ids), n_pieces and lossless (whether they decode to the text) of every row."""
     prepare(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(Path(model_path).read_bytes())
     source = docs.select("doc_id", "text")
 
     def rows(batch: pa.RecordBatch) -> dict:
-        encoder = _encoder(shared.value, seed, dropout, variants)
+        encoder = _encoder(shared.value, seed, dropout)
         texts = [t or "" for t in batch.column("text").to_pylist()]
         keys = np.array([xxhash.xxh64_intdigest(str(k), seed) for k in batch.column("doc_id").to_pylist()], np.uint64)
         ids, bound = encoder.encode(texts, keys)

@@ -129,6 +129,34 @@ def test_heap_and_rows_agree():
         assert starts == begin[0, : count[0]].tolist()
 
 
+def test_every_occurrence_has_its_own_draw():
+    texts, e = ["the conversation about international understanding ", " ".join(["the"] * 20_000)], encoder(0.1)
+    by_word = _by_word(pieces(e, [texts[0] * 1500])[0][0], sentencepiece.SentencePieceProcessor(model_file=spdropout.MODEL_PATH))
+    assert len({tuple(x) for x in by_word if "".join(x) == "▁international"}) > 4
+    # "the" is three merges or two, each candidate skipped with rate 0.1
+    whole = e.v.symbol["▁the"]
+    ids = pieces(e, [texts[1]])[0][0]
+    symbols = [e.v.char[c] for c in " the"]
+    keys = spdropout.A.mix(np.arange(20_000).astype(np.uint64))
+    rows, _, count = spdropout._agenda_rows(e.v, np.tile(np.array(symbols, np.int32), (20_000, 1)), np.full(20_000, 4), keys, e.below)
+    assert abs(ids.count(whole) - int((rows[:, 0] == whole).sum())) < 400
+
+
+def test_remembered_agendas_are_each_occurrences_own(monkeypatch):
+    rng = random.Random(2)
+    words = ["the", "international", "understanding", "né", "日本語テキ", "a" * 50, "ab" * 40, "x▁y", "12345"]
+    text = " ".join(rng.choice(words) + rng.choice(["", "s", "ing"]) for _ in range(1500))
+    for dropout in (0.1, 0.5, 1.0):
+        shared = encoder(dropout)
+        got = pieces(shared, [text])[0]
+        monkeypatch.setattr(spdropout, "REMEMBERED", 0)
+        assert pieces(shared, [text])[0] == got
+        e = encoder(dropout)
+        monkeypatch.setattr(spdropout.Encoder, "_draw", lambda self, node, key: np.arange(len(node)))
+        assert pieces(e, [text])[0] == got
+        monkeypatch.undo()
+
+
 def test_encode_and_decode_frames(spark):
     rows = list(enumerate([*TEXTS, None, "word " * 20_000, TEXTS[0]]))
     docs = spark.createDataFrame([(*r, 1) for r in rows], DOCS + ", ids int")
