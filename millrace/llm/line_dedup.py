@@ -7,8 +7,9 @@ is its own only shingle). Of each connected component of such lines the first
 occurrence stays, by (doc_id, line number); all others are removed.
 
 * Signatures: ``ROWS`` one-permutation hashes of ``BANDS`` bins each; band j is bin
-  j of all of them, so that the rows of a band are independent. Empty bins borrow
-  from the next full one. A pair at 0.8 misses all 16 bands with probability 2e-4.
+  j of all of them, so that the rows of a band are independent. An empty bin, as short
+  lines have, takes a MinHash of its own over all shingles, so that a value agrees with
+  probability J at any length. A pair at 0.8 misses all 16 bands with probability 2e-4.
 * Banding: (key, line) entries go to reducers as packed arrays. A task first
   combines its own: of each key one line goes on as a *head*, the others as
   *members*. A reducer finds each key's least head, then streams the members past
@@ -46,6 +47,9 @@ BANDS = 1 << _BAND_BITS
 BLOCK = 512
 _EMPTY = np.uint32(0xFFFFFFFF)
 _FLUSH = 1_500_000
+#: For each empty bin of each row, a hash function of its own.
+_REDRAW = A.mix(np.arange(1, 2 * ROWS * BANDS + 1, dtype=np.uint64) * np.uint64(0xE7037ED1A0B428DB)).reshape(-1, 2)
+_REDRAW[:, 1] |= np.uint64(1)
 _SPACES = np.array([0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D], np.uint32)
 
 
@@ -100,20 +104,24 @@ def signatures(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nda
         length[::2], length[1::2] = gap, count
         base = np.repeat(owner, length)[: len(h)]
         lower(h[: len(base)], base)
+    else:
+        h = np.zeros(0, np.uint64)
     short = np.flatnonzero(count == 0)
+    own = _hashes(prefix, start[short], end[short])
     if len(short):
-        lower(_hashes(prefix, start[short], end[short]), short * BANDS)
+        lower(own, short * BANDS)
+    h = np.append(h, own)  # the shingles of line k are h[at[k] : at[k] + size[k]]
+    at, size = start.copy(), np.maximum(count, 1)
+    at[short] = len(h) - len(short) + np.arange(len(short))
     key = np.zeros((n, BANDS), np.uint64)
     for r in range(ROWS):
         mine = table[r, : n * BANDS].reshape(n, BANDS)
-        holed = np.flatnonzero((mine == _EMPTY).any(1))
-        some = mine[holed]
-        for _ in range(BANDS - 1 if len(holed) else 0):
-            empty = some == _EMPTY
-            if not empty.any():
-                break
-            some = np.where(empty, np.roll(some, -1, 1), some)
-        mine[holed] = some
+        for j in range(BANDS):
+            holed = np.flatnonzero(mine[:, j] == _EMPTY)
+            if len(holed):
+                flip, factor = _REDRAW[r * BANDS + j]
+                again = (h[A.ranges(at[holed], size[holed])] ^ flip) * factor
+                mine[holed, j] = np.minimum.reduceat(again, np.cumsum(size[holed]) - size[holed]) >> np.uint64(32)
         key = key * np.uint64(0x9FB21C651E98DF25) + mine
     return A.mix(key * np.uint64(0xD6E8FEB86659FD93) + np.arange(BANDS, dtype=np.uint64)[None, :])
 

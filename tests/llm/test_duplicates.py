@@ -183,6 +183,15 @@ def brute_lines(rows):
     return {k: (t if t is None else "\n".join(x for n, x in enumerate(t.split("\n")) if n not in gone[k])) for k, t in rows}
 
 
+@pytest.mark.parametrize("common, more", [(4, 1), (8, 2), (40, 10)])
+def test_line_signatures_find_short_pairs(common, more):
+    rng = np.random.default_rng(5)
+    body = rng.integers(97, 123, (5000, common + 6 + more)).astype(np.uint8)
+    texts = [x for r in body for x in (r[: common + 6].tobytes().decode(), r.tobytes().decode())]
+    keys = line_dedup.signatures(*line_dedup.lines_of(["\n".join(texts)])[:3])
+    assert (~(keys[::2] == keys[1::2]).any(1)).sum() <= 5  # 2e-4 of 5000 is 1
+
+
 def test_line_dedup(spark):
     rng = random.Random(6)
     shared = [prose(rng, 25) for _ in range(8)]
