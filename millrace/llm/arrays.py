@@ -66,10 +66,45 @@ def prefix_hash(data: np.ndarray) -> np.ndarray:
 
 
 def slice_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit content hashes of the byte slices [start, end)."""
+    """64-bit content hashes of the byte slices [start, end); not an identity for slices of 1024 bytes and more."""
     return mix((prefix[end] - prefix[start]) * powers(len(prefix), True)[start])
 
 
+def _span_table() -> np.ndarray:
+    return mix(np.arange(1, (1 << 16) + 1, dtype=U64) * U64(0x9E3779B97F4A7C15))
+
+
+_SPAN = _span_table()
+
+
+def span_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit content hashes of disjoint byte spans [start, end) in order, none of them empty.
+
+    Each (place, byte) has a random number of its own, and each 256-byte stretch a
+    random odd factor; a span's hash is their sum. Unlike ``slice_hash``, a polynomial modulo
+    2**64, it has no families of long spans that always collide.
+    """
+    if not len(start):
+        return np.zeros(0, U64)
+    size = end - start
+    stop = np.cumsum(size)
+    first = stop - size
+    step = np.ones(stop[-1], np.int32)  # running sums of steps: where each byte is, and its place in its span modulo 256
+    step[0] = start[0]
+    step[first[1:]] = start[1:] - end[:-1] + 1
+    turn = np.ones(stop[-1], np.uint8)
+    turn[0] = 0
+    turn[first[1:]] = (1 - size[:-1]).astype(np.uint8)
+    key = np.cumsum(turn, dtype=np.uint8).astype(np.uint16)
+    key <<= 8
+    key |= data[np.cumsum(step, dtype=np.int32)]
+    value = _SPAN[key]
+    for k in np.flatnonzero(size > 256).tolist():
+        far = value[first[k] + 256 : stop[k]]
+        far *= mix(np.arange(256, size[k]).astype(U64) >> U64(8)) | U64(1)
+    return mix(np.add.reduceat(value, stop - size) + size.astype(U64) * U64(0xA0761D6478BD642F))
+
+
 def column_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """The bytes and row offsets of a string (or binary) column; null rows are empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -163,7 +198,7 @@ def ngram_features(data: np.ndarray, off: np.ndarray, bits: int, *, chars: bool
             found.append(mix(unit[:-1] * U64(0x9FB21C651E98DF25) + unit[1:] + U64(salt + 1))[same])
             rows.append(row[1:][same])
 
-    unit = slice_hash(prefix_hash(low), start, end)
+    unit = span_hash(low, start, end)
     grams(unit, 11)
     if shapes:
         kind = SHAPE[data]
@@ -171,7 +206,7 @@ def ngram_features(data: np.ndarray, off: np.ndarray, bits: int, *, chars: bool
         change[1:] = kind[1:] != kind[:-1]
         change[start] = True
         place = np.concatenate([[0], np.cumsum(change)])
-        grams(slice_hash(prefix_hash(kind[change]), place[start], place[end]), 23)
+        grams(span_hash(kind[change], place[start], place[end]), 23)
         covered = repeated_windows(unit, row)
         found.append(np.full(int(covered.sum()), mix(np.array([37], U64))[0], U64))
         rows.append(row[covered])

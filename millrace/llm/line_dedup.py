@@ -6,10 +6,9 @@ of ``SIMILARITY`` of their sets of ``SHINGLE``-character strings (a shorter line
 is its own only shingle). Of each connected component of such lines the first
 occurrence stays, by (doc_id, line number); all others are removed.
 
-* Signatures: ``ROWS`` one-permutation hashes of ``BANDS`` bins each; band j is bin
-  j of all of them, so that the rows of a band are independent. An empty bin, as short
-  lines have, takes a MinHash of its own over all shingles, so that a value agrees with
-  probability J at any length. A pair at 0.8 misses all 16 bands with probability 2e-4.
+* Signatures: ``BANDS`` bands of ``ROWS`` MinHash values, each over all shingles, so that
+  a value agrees with probability J at any length. A pair at 0.8 misses all 16 bands
+  with probability 2e-4.
 * Banding: (key, line) entries go to reducers as packed arrays. A task first
   combines its own: of each key one line goes on as a *head*, the others as
   *members*. A reducer finds each key's least head, then streams the members past
@@ -18,7 +17,9 @@ occurrence stays, by (doc_id, line number); all others are removed.
   bucket still spans components, all its pairs across components are verified
   too, in blocks inside tasks.
 
-Rows are referred to by a 64-bit hash of doc_id and text. Defined results. Null and
+Lines are equal if their 128-bit hashes are. Links join nodes, the first halves; should two
+lines share a node, one of them may lose its links, but no line goes for the other.
+Rows are referred to by two 64-bit hashes of doc_id and text. Defined results. Null and
 empty texts have no lines to remove and stay as they are. Rows equal in doc_id and
 text count as one row, and lose the same lines. Null ids come last in order. All
 columns pass through; ``n_chars``, if there is one, follows the new text. An empty
@@ -31,25 +32,24 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import arrays as A
 from .graph import connected
-from .runtime import batches_of, cut, prepare, stored
+from .runtime import batches_of, cut, fresh, prepare, row_key, stored
 
 SIMILARITY = 0.8
 SHINGLE = 7
 ROWS = 4
-_BAND_BITS = 4
-BANDS = 1 << _BAND_BITS
+BANDS = 16
 #: A bucket is verified in blocks of so many lines and pairs of such blocks.
 BLOCK = 512
-_EMPTY = np.uint32(0xFFFFFFFF)
 _FLUSH = 1_500_000
-#: For each empty bin of each row, a hash function of its own.
-_REDRAW = A.mix(np.arange(1, 2 * ROWS * BANDS + 1, dtype=np.uint64) * np.uint64(0xE7037ED1A0B428DB)).reshape(-1, 2)
-_REDRAW[:, 1] |= np.uint64(1)
+#: A flip and an odd factor for each MinHash function.
+_FUNCTIONS = A.mix(np.arange(1, 2 * ROWS * BANDS + 1, dtype=np.uint64) * np.uint64(0xE7037ED1A0B428DB)).astype(np.uint32).reshape(-1, 2)
+_FUNCTIONS[:, 1] |= np.uint32(1)
 _SPACES = np.array([0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D], np.uint32)
 
 
@@ -80,50 +80,39 @@ def _hashes(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarra
     return A.slice_hash(prefix, start, end) if len(start) else np.zeros(0, np.uint64)
 
 
-def signatures(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Band keys (lines x bands) of the lines, which come in order of their starts."""
-    n = len(start)
-    table = np.full((ROWS, (n + 1) * BANDS), _EMPTY, np.uint32)  # the last line takes the shingles that cross line ends
-
-    def lower(h: np.ndarray, base: np.ndarray) -> None:
-        for r in range(ROWS):
-            if r % 2 == 0:
-                h = h * np.uint64(0xA0761D6478BD642F + 2 * r)
-                h ^= h >> np.uint64(32)
-            part = h.view(np.uint32)[r % 2 :: 2]
-            np.minimum.at(table[r], base + (part >> np.uint32(32 - _BAND_BITS)), part)
+def identities(lines: list[bytes]) -> np.ndarray:
+    """128-bit hashes of lower-cased lines (lines x 2); the first half is a line's node."""
+    digest = xxhash.xxh3_128_digest
+    return np.frombuffer(b"".join([digest(x) for x in lines]), np.int64).reshape(-1, 2)
+
+
+def _low(texts: list[str]) -> bytes:
+    return "\n".join(texts).encode("utf-8", "surrogatepass").lower()  # of bytes: A-Z only
+
 
+def signatures(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Band keys (lines x bands) of the lines, none of them empty."""
     count = np.maximum(end - start - SHINGLE + 1, 0)
     if (count > 0).any():
         h = (prefix[SHINGLE:] - prefix[:-SHINGLE]) * A.powers(len(prefix) - SHINGLE, True)
         h ^= h >> np.uint64(29)
-        gap = np.diff(np.concatenate([[0], (start + count)])) - count  # places before each line that belong to none
-        owner = np.full(2 * n, n * BANDS)
-        owner[1::2] = np.arange(n) * BANDS
-        length = np.empty(2 * n, np.int64)
-        length[::2], length[1::2] = gap, count
-        base = np.repeat(owner, length)[: len(h)]
-        lower(h[: len(base)], base)
+        h *= np.uint64(0xA0761D6478BD642F)
+        h = (h >> np.uint64(32)).astype(np.uint32)
     else:
-        h = np.zeros(0, np.uint64)
+        h = np.zeros(0, np.uint32)
     short = np.flatnonzero(count == 0)
-    own = _hashes(prefix, start[short], end[short])
-    if len(short):
-        lower(own, short * BANDS)
-    h = np.append(h, own)  # the shingles of line k are h[at[k] : at[k] + size[k]]
+    h = np.append(h, (_hashes(prefix, start[short], end[short]) >> np.uint64(32)).astype(np.uint32))
     at, size = start.copy(), np.maximum(count, 1)
     at[short] = len(h) - len(short) + np.arange(len(short))
-    key = np.zeros((n, BANDS), np.uint64)
-    for r in range(ROWS):
-        mine = table[r, : n * BANDS].reshape(n, BANDS)
-        for j in range(BANDS):
-            holed = np.flatnonzero(mine[:, j] == _EMPTY)
-            if len(holed):
-                flip, factor = _REDRAW[r * BANDS + j]
-                again = (h[A.ranges(at[holed], size[holed])] ^ flip) * factor
-                mine[holed, j] = np.minimum.reduceat(again, np.cumsum(size[holed]) - size[holed]) >> np.uint64(32)
-        key = key * np.uint64(0x9FB21C651E98DF25) + mine
-    return A.mix(key * np.uint64(0xD6E8FEB86659FD93) + np.arange(BANDS, dtype=np.uint64)[None, :])
+    h = h[A.ranges(at, size)]  # the lines' shingles, one line after another
+    first = np.cumsum(size) - size
+    key, value = np.zeros((BANDS, len(start)), np.uint64), np.empty_like(h)
+    for band in range(BANDS):
+        for flip, factor in _FUNCTIONS[band * ROWS : (band + 1) * ROWS]:
+            np.bitwise_xor(h, flip, out=value)
+            np.multiply(value, factor, out=value)
+            key[band] = key[band] * np.uint64(0x9FB21C651E98DF25) + np.minimum.reduceat(value, first)
+    return A.mix(key.T * np.uint64(0xD6E8FEB86659FD93) + np.arange(BANDS, dtype=np.uint64)[None, :])
 
 
 def _runs(column: pa.Array, limit: int = 1 << 16) -> Iterator[tuple[int, list[str]]]:
@@ -148,28 +137,34 @@ def _by_key(key: np.ndarray) -> np.ndarray:
 
 
 def keyed_rows(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("__loc", F.xxhash64("doc_id", "text"))
+    """(k1, k2, doc_id, text); k1 and k2 together stand for the row."""
+    k1, k2 = row_key(docs)
+    return docs.select(k1.alias("k1"), k2.alias("k2"), "doc_id", "text")
 
 
 def occurrences(keyed: DataFrame) -> DataFrame:
-    """(node, __loc, doc_id, line) of every line that is not blank; node is the hash of its key."""
+    """(node, twin, k1, k2, doc_id, line) of every line that is not blank; node and twin are the 128-bit hash of the lower-cased line."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, texts in _runs(batch.column(2)):
-                prefix, start, end, row, number = lines_of(texts)
+            for first, texts in _runs(batch.column(3)):
+                lines = _low(texts).split(b"\n")
+                size = np.array([t.count("\n") + 1 for t in texts])
+                full = np.array([x != b"" and not x.isspace() for x in lines], bool)
+                row = np.repeat(np.arange(len(texts)), size)[full]
+                number = A.ranges(np.zeros(len(texts), np.int64), size)[full]
+                both = identities([x for x, keep in zip(lines, full.tolist(), strict=True) if keep])
                 at = pa.array(row + first)
-                yield pa.RecordBatch.from_arrays([pa.array(_hashes(prefix, start, end).view(np.int64)), batch.column(0).take(at), batch.column(1).take(at), pa.array(number.astype(np.int32))], ["node", "__loc", "doc_id", "line"])
+                yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1]), *(batch.column(k).take(at) for k in range(3)), pa.array(number.astype(np.int32))], ["node", "twin", "k1", "k2", "doc_id", "line"])
 
-    source = keyed.select("__loc", "doc_id", "text")
-    return source.mapInArrow(rows, f"node long, __loc long, doc_id {source.schema['doc_id'].dataType.simpleString()}, line int")
+    return keyed.mapInArrow(rows, f"node long, twin long, k1 long, k2 long, doc_id {keyed.schema['doc_id'].dataType.simpleString()}, line int")
 
 
 def _line_bands(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     for _, texts in _runs(column):
         prefix, start, end, _, _ = lines_of(texts)
         if len(start):
-            node = _hashes(prefix, start, end)
+            node = identities([x for x in _low(texts).split(b"\n") if x and not x.isspace()])[:, 0].view(np.uint64)
             first = np.sort(np.unique(node, return_index=True)[1])
             yield signatures(prefix, start[first], end[first]), node[first]
 
@@ -264,29 +259,33 @@ def _by_part(function):
     return over
 
 
-def _shingle_hashes(bodies: list[str]) -> list[list[int]]:
+Shingles = Callable[[list[str]], list[np.ndarray]]
+
+
+def _shingle_hashes(bodies: list[str]) -> list[np.ndarray]:
     """64-bit hashes of each line's shingles, with repeats; two different shingles of a pair share one with probability below 1e-12."""
     prefix, start, end, _, _ = lines_of(bodies)
     count = np.maximum(end - start - SHINGLE + 1, 0)
     h = A.mix((prefix[SHINGLE:] - prefix[:-SHINGLE]) * A.powers(len(prefix) - SHINGLE, True)) if len(prefix) > SHINGLE else np.zeros(0, np.uint64)
-    whole = _hashes(prefix, start, end).tolist()
-    return [h[s : s + c].tolist() if c else [w] for s, c, w in zip(start.tolist(), count.tolist(), whole, strict=True)]
+    whole = _hashes(prefix, start, end)
+    return [h[s : s + c] if c else whole[k : k + 1] for k, (s, c) in enumerate(zip(start.tolist(), count.tolist(), strict=True))]
 
 
-def verified(pairs: DataFrame, lines: DataFrame, shingles: Callable[[list[str]], list[list[int]]] = _shingle_hashes) -> DataFrame:
+def verified(pairs: DataFrame, lines: DataFrame, shingles: Shingles = _shingle_hashes) -> DataFrame:
     """(a, b, same): whether the exact similarity of each pair of nodes reaches the threshold."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, held = None, set()
         for batch in batches:
             same = []
             for first in range(0, batch.num_rows, 100):
                 part = batch.slice(first, 100)
-                left, right = (shingles(part.column(k).to_pylist()) for k in (2, 3))
-                for b, x, y in zip(part.column(1).to_pylist(), left, right, strict=True):
-                    if b != last:
-                        last, held = b, set(y)
-                    mine = set(x)
+                other = part.column(1).to_numpy()
+                new = np.append(True, other[1:] != other[:-1])  # pairs come in order of b: each b is hashed once in a run
+                found = iter(shingles(part.column(2).to_pylist() + part.column(3).filter(pa.array(new)).to_pylist()))
+                left = [set(next(found).tolist()) for _ in range(len(other))]
+                for mine, fresh_one in zip(left, new.tolist(), strict=True):
+                    if fresh_one:
+                        held = set(next(found).tolist())
                     common = len(mine & held)
                     same.append(common >= SIMILARITY * (len(mine) + len(held) - common))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(same, pa.bool_())], ["a", "b", "same"])
@@ -297,32 +296,35 @@ def verified(pairs: DataFrame, lines: DataFrame, shingles: Callable[[list[str]],
 
 
 def _bodies(keyed: DataFrame, every: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, body) of the wanted nodes, from one occurrence of each."""
-    place = every.join(nodes, "node").groupBy("node").agg(F.min(F.struct("__loc", "line")).alias("w"))
-    place = place.groupBy("w.__loc").agg(F.collect_list(F.struct("node", "w.line")).alias("wanted"))
+    """(node, twin, body) of the wanted nodes, from one occurrence of each."""
+    least = [F.min_by(c, "k1").alias(c) for c in ("twin", "k2", "line")]  # all of the same row, as they are compared alike
+    place = every.groupBy("node").agg(F.min("k1").alias("k1"), *least).join(nodes, "node")
+    place = place.groupBy("k1", "k2").agg(F.collect_list(F.struct("node", "twin", "line")).alias("wanted"))  # at most the row's lines
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            node, body = [], []
+            node, twin, body = [], [], []
             for text, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 parts = text.split("\n")
                 node += [w["node"] for w in wanted]
+                twin += [w["twin"] for w in wanted]
                 body += [parts[w["line"]] for w in wanted]
-            yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(body, pa.string())], ["node", "body"])
+            yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(twin, pa.int64()), pa.array(body, pa.string())], ["node", "twin", "body"])
 
-    found = keyed.select("__loc", "text").join(place, "__loc").select("text", "wanted").mapInArrow(rows, "node long, body string")
+    found = keyed.select("k1", "k2", "text").join(place, ["k1", "k2"]).select("text", "wanted").mapInArrow(rows, "node long, twin long, body string")
     return stored(found).dropDuplicates(["node"])
 
 
 def components(keyed: DataFrame, every: DataFrame) -> DataFrame:
-    """(node, root) of all lines that have a near-duplicate."""
+    """(node, twin, root) of all lines that have a near-duplicate."""
     with batches_of(keyed.sparkSession, 16):
         edges = stored(candidates(keyed))
-    return linked(edges, lambda nodes: _bodies(keyed, every, nodes))
+    found, lines = linked(edges, lambda nodes: _bodies(keyed, every, nodes))
+    return found.join(lines.select("node", "twin"), "node")
 
 
-def linked(edges: DataFrame, bodies: Callable[[DataFrame], DataFrame], shingles: Callable[[list[str]], list[list[int]]] = _shingle_hashes, block: int = BLOCK) -> DataFrame:
-    """(node, root) of all nodes with a near-duplicate among the candidates (a, b, key); ``bodies`` gives (node, body) of wanted nodes."""
+def linked(edges: DataFrame, bodies: Callable[[DataFrame], DataFrame], shingles: Shingles = _shingle_hashes, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+    """(node, root) of all nodes with a near-duplicate among the candidates (a, b, key), and what ``bodies`` gives: (node, body) of wanted nodes."""
     pairs = cut(edges.select("a", "b").distinct())
     lines = bodies(cut(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()))
     tested = stored(verified(pairs, lines, shingles))
@@ -344,53 +346,52 @@ def linked(edges: DataFrame, bodies: Callable[[DataFrame], DataFrame], shingles:
     members = members.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     members = members.select("key", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("q"), F.col("a").alias("node"), F.col("ra").alias("root"))
     with batches_of(edges.sparkSession, 2_000):
-        more = cut(_across(members.join(lines, "node"), shingles))
-    return found if more.isEmpty() else connected(found.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
+        more = cut(_across(members.join(lines.select("node", "body"), "node"), shingles))
+    if not more.isEmpty():
+        found = connected(found.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
+    return found, lines
 
 
-def _across(members: DataFrame, shingles: Callable[[list[str]], list[list[int]]] = _shingle_hashes) -> DataFrame:
-    """Links (a, b) that join components inside the groups (key, p, q) of bounded size.
+def _links(node: np.ndarray, root: np.ndarray, hashes: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Links that join components (roots) of the lines with these shingles, all pairs compared.
 
-    A group's shingles are numbered, so that a line is one long integer and a
-    pair costs an ``and`` and a bit count. Only links that join something come out.
+    A line is a row of bits, one for each shingle of the group: a pair costs an ``and`` and a bit count.
     """
-
-    def links(group: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
-        number: dict[int, int] = {}
-        hashes = [x for k in range(0, len(group), 100) for x in shingles([body for *_, body in group[k : k + 100]])]
-        found = [np.array([number.setdefault(x, len(number)) for x in set(line)]) for line in hashes]
-        bits = []
-        for at in found:
-            flags = np.zeros(len(number), bool)
-            flags[at] = True
-            bits.append(int.from_bytes(np.packbits(flags).tobytes()))
-        size = [len(x) for x in found]
-        parent: dict[int, int] = {root: root for _, root, _ in group}
-
-        def top(x: int) -> int:
-            while parent[x] != x:
-                parent[x] = x = parent[parent[x]]
-            return x
-
-        out = []
-        order = sorted(range(len(group)), key=size.__getitem__)
-        for n, i in enumerate(order):
-            for j in order[n + 1 :]:
-                if size[i] < SIMILARITY * size[j]:
-                    break  # only longer ones follow
-                a, b = top(group[i][1]), top(group[j][1])
-                if a != b:
-                    common = (bits[i] & bits[j]).bit_count()
-                    if common >= SIMILARITY * (size[i] + size[j] - common):
-                        parent[a] = b
-                        out.append((group[i][0], group[j][0]))
-        return out
+    size = np.array([len(x) for x in hashes])
+    _, number = np.unique(np.concatenate(hashes), return_inverse=True)
+    flags = np.zeros((len(hashes), (int(number.max()) + 64) & ~63), bool)
+    flags[np.repeat(np.arange(len(hashes)), size), number] = True
+    bits = np.packbits(flags, axis=1).view(np.uint64)
+    size = flags.sum(1)
+    order = np.argsort(size, kind="stable")
+    node, root, bits, size = node[order], root[order].copy(), bits[order], size[order]
+    out = []
+    step = max(1, (1 << 20) // bits.size)
+    for i in range(0, len(size), step):
+        j = min(i + step, len(size))
+        end = int(np.searchsorted(size, size[j - 1] / SIMILARITY, "right"))  # longer ones cannot reach it
+        differ = root[i:j, None] != root[None, i:end]
+        if not differ.any():
+            continue
+        common = np.bitwise_count(bits[i:j, None, :] & bits[None, i:end, :]).sum(2, dtype=np.int64)
+        near = differ & (common >= SIMILARITY * (size[i:j, None] + size[None, i:end] - common))
+        for x, y in zip(*(k.tolist() for k in np.nonzero(near)), strict=True):
+            if root[i + x] != root[i + y]:
+                root[root == root[i + y]] = root[i + x]
+                out.append((int(node[i + x]), int(node[i + y])))
+    return out
+
+
+def _across(members: DataFrame, shingles: Shingles = _shingle_hashes) -> DataFrame:
+    """Links (a, b) that join components inside the groups (key, p, q) of bounded size."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, group = None, []
 
         def done() -> pa.RecordBatch:
-            pairs = links(group)
+            node, root = (np.array([r[k] for r in group]) for k in (0, 1))
+            hashes = [x for k in range(0, len(group), 100) for x in shingles([body for *_, body in group[k : k + 100]])] if (root != root[0]).any() else None
+            pairs = _links(node, root, hashes) if hashes else []
             return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], ["a", "b"])
 
         for batch in batches:
@@ -408,24 +409,31 @@ def _across(members: DataFrame, shingles: Callable[[list[str]], list[list[int]]]
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
-    """(__loc, lines): the numbers of the lines that go, for every row that loses some."""
+    """(k1, k2, lines): the numbers of the lines that go, for every row that loses some."""
     prepare(docs.sparkSession)
     keyed = keyed_rows(docs)
     every = stored(occurrences(keyed))
     found = components(keyed, every)
-    grouped = every.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "__loc", "line")
-    first = cut(grouped.groupBy("root").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("root", "first.__loc", "first.line").withColumnsRenamed({"__loc": "keep", "line": "number"}))
-    gone = grouped.join(first, "root").where("__loc <> keep OR line <> number")
-    return cut(gone.groupBy("__loc").agg(F.sort_array(F.collect_set("line")).alias("lines")))
+    # each distinct line once, however common, before the groups: a component, or the line alone
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "k1", "k2", "line")
+    per_line = every.groupBy("node", "twin").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).join(found, ["node", "twin"], "left")
+    per_line = cut(per_line.where("root IS NOT NULL OR n > 1"))
+    alone = per_line.where("root IS NULL").select("node", "twin", "first")
+    several = per_line.where("root IS NOT NULL").select("node", "twin", "root", "first")
+    heads = several.groupBy("root").agg(F.min("first").alias("first"))
+    repeated = cut(alone.union(several.drop("first").join(heads, "root").select("node", "twin", "first")).select("node", "twin", F.col("first.k1").alias("f1"), F.col("first.k2").alias("f2"), F.col("first.line").alias("number")))
+    gone = every.select("node", "twin", "k1", "k2", "line").join(repeated, ["node", "twin"]).where("k1 <> f1 OR k2 <> f2 OR line <> number")
+    return cut(gone.groupBy("k1", "k2").agg(F.sort_array(F.collect_set("line")).alias("lines")))
 
 
 def dedup(docs: DataFrame, count_column: str | None = "n_removed_lines") -> DataFrame:
-    """docs with the near-duplicate lines removed and, unless it is None, a column with their number."""
-    if count_column in docs.columns:
-        raise ValueError(f"docs has a column {count_column!r}; name another count_column, or None")
-    joined = keyed_rows(docs).join(removed_lines(docs).withColumnRenamed("lines", "__gone"), "__loc", "left").drop("__loc")
+    """docs with the near-duplicate lines removed and, unless it is None, a column with their number, last; it replaces one of that name."""
+    docs = docs.drop(count_column) if count_column is not None else docs
     names, at = docs.columns, docs.columns.index("text")
+    k1, k2, gone = (fresh(x, names) for x in ("k1", "k2", "gone"))
+    keys = row_key(docs)
+    removed = removed_lines(docs).withColumnsRenamed({"k1": k1, "k2": k2, "lines": gone})
+    joined = docs.withColumns({k1: keys[0], k2: keys[1]}).join(removed, [k1, k2], "left").select(*(F.col(f"`{c}`") for c in names), gone)
     count = names.index("n_chars") if "n_chars" in names else None
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -433,10 +441,10 @@ def dedup(docs: DataFrame, count_column: str | None = "n_removed_lines") -> Data
             if not batch.num_rows:
                 continue
             texts, removed = [], []
-            for text, gone in zip(batch.column(at).to_pylist(), batch.column(len(names)).to_pylist(), strict=True):
-                removed.append(len(gone or ()))
-                if gone:
-                    out = set(gone)
+            for text, lines in zip(batch.column(at).to_pylist(), batch.column(len(names)).to_pylist(), strict=True):
+                removed.append(len(lines or ()))
+                if lines:
+                    out = set(lines)
                     text = "\n".join([x for k, x in enumerate(text.split("\n")) if k not in out])
                 texts.append(text)
             columns = [batch.column(k) for k in range(len(names))]

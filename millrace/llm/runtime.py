@@ -12,7 +12,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows in an Arrow batch: whole documents are long, so batches are short.
@@ -23,16 +23,24 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Sets what the operators rely on: short Arrow batches, and a checkpoint folder.
 
     The folder is the cluster's ``spark.checkpoint.dir``; a temporary one is set
-    only where that is unset, as in local tests.
+    only where that is unset and the master is local, as in tests.
     """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     context = spark.sparkContext
     context.environment.setdefault("PYTHONPATH", str(Path(__file__).parents[2]))  # workers on this host find the package
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="millrace-"))
+        folder = context.getConf().get("spark.checkpoint.dir")
+        if not folder and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="millrace-"))
     return spark
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A path for a new table in the shared checkpoint folder."""
+    return f"{prepare(spark).sparkContext._jsc.sc().getCheckpointDir().get()}/tables/{name}{uuid.uuid4().hex}"
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Materialises df once in the shared checkpoint folder, so later reads survive lost executors."""
     prepare(df.sparkSession)
@@ -43,8 +51,8 @@ def cut(df: DataFrame) -> DataFrame:
 
 def stored(df: DataFrame) -> DataFrame:
     """Like ``cut``, for many rows: a compressed Parquet table in the shared checkpoint folder."""
-    spark = prepare(df.sparkSession)
-    path = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/tables/{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    path = shared_path(spark, "")
     df.write.option("compression", "zstd").parquet(path)
     release(spark)
     return spark.read.schema(df.schema).parquet(path)
@@ -80,6 +88,20 @@ def arrow_map(df: DataFrame, function: Callable[[pa.RecordBatch], dict], schema:
     return df.mapInArrow(over, schema)
 
 
+def fresh(name: str, taken: list[str]) -> str:
+    """``name``, with underscores in front until no column has it."""
+    low = {t.lower() for t in taken}
+    while name.lower() in low:
+        name = "_" + name
+    return name
+
+
+def row_key(docs: DataFrame) -> tuple[Column, Column]:
+    """Two 64-bit hashes of doc_id and text, nulls told apart: together the identity of a row's contents."""
+    parts = [F.col("doc_id").isNull(), F.col("doc_id").cast("string"), F.col("text").isNull(), F.col("text")]
+    return F.xxhash64(F.lit(1), *parts), F.xxhash64(F.lit(2), *parts)
+
+
 def bucket_of(doc_id, modulus: int):
     """crc32 of doc_id as text, modulo ``modulus``; null ids count as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % modulus

@@ -213,8 +213,9 @@ def test_line_dedup(spark):
     assert {k: r.text for k, r in got.items()} == want
     assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in got.values())
     assert line_dedup.dedup(docs.where("false")).isEmpty()
-    with pytest.raises(ValueError, match="count_column"):
-        line_dedup.dedup(docs, "node")
+    counted = line_dedup.dedup(docs, "node")  # a column of that name is replaced
+    assert counted.columns == ["doc_id", "text", "n_chars", "node"]
+    assert {r.doc_id: r.node for r in counted.collect()} == {k: (t or "").count("\n") - (want[k] or "").count("\n") + ((t or "") != "" and want[k] == "") for k, t in rows if k != 62} | {62: 0}
 
 
 def test_line_dedup_of_repeated_rows_and_null_ids(spark):
