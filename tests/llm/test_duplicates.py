@@ -2,9 +2,11 @@
 
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -224,6 +226,45 @@ def test_line_dedup_of_repeated_rows_and_null_ids(spark):
     assert got == sorted([(1, "", 1), (1, "", 1), (None, "", 1), (0, "other\nsame line here", 0)], key=str)
 
 
+def thue_morse(n=1024):
+    """A word and its complement, equal under any polynomial hash modulo 2**64 with an odd base."""
+    a = "".join("ab"[bin(k).count("1") & 1] for k in range(n))
+    return a, a.translate(str.maketrans("ab", "ba"))
+
+
+def test_line_dedup_of_clashing_columns_null_keys_and_lines_that_weak_hashes_confuse(spark):
+    a, b = thue_morse()
+    rows = [(None, "same"), ("same", None), ("x", f"{a} 0123456789"), ("y", f"{b} abcdefghij"), ("z", f"{a} 0123456789")]
+    docs = spark.createDataFrame([(*r, 1, 2, 3) for r in rows], "doc_id string, text string, __loc int, k1 int, gone int")
+    got = sorted((tuple(r) for r in line_dedup.dedup(docs, None).collect()), key=str)
+    assert got == sorted([(k, "" if k == "z" else t, 1, 2, 3) for k, t in rows], key=str)
+    assert (line_dedup.identities([a.encode()]) != line_dedup.identities([b.encode()])).all()
+
+
+def test_near_dedup_stage_on_clashing_columns_and_null_keys(spark):
+    a, b = thue_morse()
+    docs = spark.createDataFrame([(*r, 1, 2) for r in [(None, "t"), ("t", None), ("u", a), ("v", b), ("w", a), ("w", a)]], "doc_id string, text string, k1 int, node int")
+    kept = worddup.keep_one(docs)
+    assert kept.schema == docs.schema
+    assert sorted((r.doc_id, r.text) for r in kept.collect() if r.doc_id) == [("t", None), ("u", a), ("v", b)]
+
+
+def test_suffix_dedup_of_null_keys_and_segments_that_weak_hashes_confuse(spark):
+    a, b = thue_morse()
+    rows = [(None, a), (a, None), ("b", b), ("c", b[:700] + "zz"), ("c", b[:700] + "zz")]
+    docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id string, text string, k1 int")
+    got = sorted(((r.doc_id, r.n_bytes, r.n_removed, len(r.spans), bytes(r.kept)) for r in suffixdup.dedup(docs).collect()), key=str)
+    assert got == brute_suffix(rows)
+
+
+def test_simhash_keeps_one_of_repeats_beside_clashing_columns(spark):
+    rows = [(1, "a b c d"), (1, "a b c d"), (1, "other words here now"), (None, "a b c d"), (None, "lonely text by itself")]
+    docs = spark.createDataFrame([(*r, 1, 2, 3) for r in rows], DOCS + ", simhash int, __id int, rows int")
+    kept = simhash.keep_one(docs)
+    assert kept.schema == docs.schema
+    assert sorted((r.text for r in kept.collect())) == ["a b c d", "lonely text by itself", "other words here now"]
+
+
 def brute_contaminated(rows, items):
     token = re.compile(r"[A-Za-z0-9\u0080-\U0010ffff]+")
     out = set()
@@ -269,6 +310,37 @@ def test_decontamination(spark):
     assert decontam.contaminated(docs.where("false"), bench).isEmpty()
 
 
+def test_frequent_tokens_on_both_sides():
+    def found(doc, item):
+        index = decontam.SeedIndex.of(pa.table({"item_id": [1], "text": [item]}))
+        return [x for _, _, token, bound in decontam.tokens(pa.array([doc])) for x in index.hits(token, bound)]
+
+    began = time.perf_counter()
+    assert found("x " * 20_000, "x " * 20_000) == [(0, 0, 0, 13)]
+    assert found("x y " * 5_000, "x z " * 5_000) == []
+    assert time.perf_counter() - began < 10
+    rng = random.Random(3)
+    for _ in range(30):  # few words: seeds are frequent; the convolution and the list of pairs must agree
+        a, b = (" ".join(rng.choice("xy") * rng.randint(1, 2) for _ in range(rng.randint(5, 60))) for _ in "ab")
+        plain = found(a, b)
+        most, decontam.HOT_PAIRS = decontam.HOT_PAIRS, 1
+        try:
+            assert found(a, b) == plain
+        finally:
+            decontam.HOT_PAIRS = most
+        assert bool(plain) == bool(brute_contaminated([(0, a)], [(0, b)]))
+
+
+def test_decontamination_of_repeated_and_long_rows(spark):
+    item = " ".join(f"w{k}" for k in range(30))
+    long = " ".join(f"v{k % 977}" for k in range(60_000))
+    docs = spark.createDataFrame([(1, item), (1, item), (2, long), (3, long + " " + item)], DOCS)
+    bench = spark.createDataFrame([(7, item), (7, item)], "item_id long, text string")
+    got = sorted((r.doc_id, r.item_id, r.token_offset, r.matched_tokens) for r in decontam.contaminated(docs, bench).collect())
+    assert got == sorted([(1, 7, 0, 13)] * 4 + [(3, 7, 60_000, 13)] * 2)
+    assert [r.doc_id for r in decontam.keep_rows(docs, bench).collect()] == [2]
+
+
 def test_item_blocks_change_nothing(spark, monkeypatch):
     rng = random.Random(8)
     items = [(k, prose(rng, 20)) for k in range(12)]
@@ -277,6 +349,7 @@ def test_item_blocks_change_nothing(spark, monkeypatch):
     whole = {tuple(r) for r in decontam.contaminated(docs, bench).collect()}
     monkeypatch.setattr(decontam, "ITEMS_PER_BLOCK", 5)
     assert {tuple(r) for r in decontam.contaminated(docs, bench).collect()} == whole
+    assert decontam.keep_rows(docs, bench).isEmpty()
 
 
 @pytest.mark.parametrize("window", range(5, 14))
