@@ -15,7 +15,8 @@ A minimiser with more than ``MAX_GROUP`` different segments is not gathered: its
 strings are dealt out once more by their own 128-bit hashes, the finest buckets
 there are, in which counting replaces sorting.
 
-Rows are referred to by a 64-bit hash of doc_id and text. Defined results. Null
+Segments are equal if their 128-bit hashes are; rows are referred to by two 64-bit
+hashes of doc_id and text. Defined results. Null
 texts are empty; texts of under 200 bytes lose nothing; repeated rows repeat each
 other, so all of theirs from 200 bytes on goes. An empty table gives an empty
 result. Only ``doc_id`` and ``text`` are read.
@@ -27,12 +28,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import arrays as A
-from .runtime import arrow_map, batches_of, cut, prepare, stored
+from .runtime import arrow_map, batches_of, cut, prepare, row_key, stored
 
 LENGTH = 200
 GRAM = 32
@@ -44,7 +46,7 @@ _M = np.uint64(0xC4CEB9FE1A85EC53)
 
 
 def segments(data: np.ndarray, off: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, ...]:
-    """Minimiser, content hash, row, start in the row, number of strings and tie mark of each segment of a block.
+    """Minimiser, 128-bit content hash (segments x 2), row, start in the row, number of strings and tie mark of each segment of a block.
 
     The place of a minimiser, modulo 256, breaks ties of its hash; windows are
     shorter than that, so a change of the minimum marks a new segment. A segment
@@ -54,7 +56,7 @@ def segments(data: np.ndarray, off: np.ndarray, length: int = LENGTH) -> tuple[n
     window = length - GRAM + 1
     n = len(data) - length + 1
     if n <= 0:
-        return (*(np.zeros(0, np.uint64),) * 2, *(np.zeros(0, np.int64),) * 4)
+        return np.zeros(0, np.uint64), np.zeros((0, 2), np.int64), *(np.zeros(0, np.int64),) * 4
     prefix = A.prefix_hash(data)
     low = (prefix[GRAM:] - prefix[:-GRAM]) * A.powers(len(prefix) - GRAM, True)
     low ^= low >> np.uint64(32)
@@ -78,7 +80,9 @@ def segments(data: np.ndarray, off: np.ndarray, length: int = LENGTH) -> tuple[n
     start = np.flatnonzero(new & whole)
     limit = np.append(np.flatnonzero(new | ~whole), n)
     end = limit[np.searchsorted(limit, start, "right")]
-    return low[start] >> np.uint64(8), A.slice_hash(prefix, start, end + length - 1), row[start], start - off[row[start]], end - start, (tied[end] > tied[start]).astype(np.int64)
+    raw, digest = data.tobytes(), xxhash.xxh3_128_digest
+    content = np.frombuffer(b"".join([digest(raw[s:e]) for s, e in zip(start.tolist(), (end + length - 1).tolist(), strict=True)]), np.int64).reshape(-1, 2)
+    return low[start] >> np.uint64(8), content, row[start], start - off[row[start]], end - start, (tied[end] > tied[start]).astype(np.int64)
 
 
 def _pieces(data: np.ndarray, off: np.ndarray, length: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -116,8 +120,6 @@ def suffix_order(text: np.ndarray, wanted: np.ndarray, depth: int = LENGTH) -> n
     word = np.zeros(n + depth + 8, np.uint64)
     for k in range(8):
         word = (word << np.uint64(8)) | padded[k : k + len(word)]
-    prefix = A.prefix_hash(padded)
-    inverse = A.powers(len(prefix), True)
 
     # first stage: direct sort, eight bytes at a time, of ties only
     order = np.flatnonzero(rising & used)
@@ -134,19 +136,16 @@ def suffix_order(text: np.ndarray, wanted: np.ndarray, depth: int = LENGTH) -> n
             break
         suffix = order[place]
         head = np.append(True, group[1:] != group[:-1])
-        # a long common stretch of all ties is passed over at once
-        for step in (64, 8):
-            if done + step <= depth or step == 8:
-                h = (prefix[suffix + done + step] - prefix[suffix + done]) * inverse[suffix + done]
-                if (head[1:] | (h[1:] == h[:-1])).all():
-                    done += step
-                    break
-        else:
+        key = word[suffix + done]
+        while (head[1:] | (key[1:] == key[:-1])).all():  # a common stretch of all ties is passed over
+            done += 8
+            if done >= depth:
+                break
             key = word[suffix + done]
-            if not (head[1:] | (key[1:] == key[:-1])).all():
-                moved = np.lexsort((key, group))
-                suffix, key = suffix[moved], key[moved]
-                order[place] = suffix
+        else:
+            moved = np.lexsort((key, group))
+            suffix, key = suffix[moved], key[moved]
+            order[place] = suffix
             group = np.cumsum(np.append(True, (group[1:] != group[:-1]) | (key[1:] != key[:-1])))
             done += 8
 
@@ -217,61 +216,65 @@ def _arrays(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Recor
     """Suffix arrays over runs of whole groups; rows come sorted by minimiser."""
 
     def solve(rows: list[tuple]) -> pa.RecordBatch:
-        size = np.array([len(r[2]) + 1 for r in rows])
+        size = np.array([len(r[3]) + 1 for r in rows])
         begin = np.cumsum(size) - size
-        text = np.frombuffer(b"\0".join([r[2] for r in rows]) + b"\0", np.uint8)
+        text = np.frombuffer(b"\0".join([r[3] for r in rows]) + b"\0", np.uint8)
         starts = np.zeros(len(text), bool)
         starts[A.ranges(begin, size - length)] = True
         found = repeated_starts(text, starts, length)
         out = []
-        for (mh, sh, _), b, n in zip(rows, begin.tolist(), (size - length).tolist(), strict=True):
+        for (mh, s1, s2, _), b, n in zip(rows, begin.tolist(), (size - length).tolist(), strict=True):
             if found[b : b + n].any():
-                out.append((mh, sh, *(x.astype(np.int32).tobytes() for x in _runs(found[b : b + n]))))
-        columns = list(zip(*out, strict=True)) or [[]] * 4
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.binary(), pa.binary()), strict=True)], ["mh", "sh", "at", "run"])
+                out.append((mh, s1, s2, *(x.astype(np.int32).tobytes() for x in _runs(found[b : b + n]))))
+        columns = list(zip(*out, strict=True)) or [[]] * 5
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(),) * 3 + (pa.binary(),) * 2, strict=True)], ["mh", "s1", "s2", "at", "run"])
 
     held: list[tuple] = []
     volume = 0
     for batch in batches:
-        for row in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+        for row in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
             if volume >= ARRAY_BYTES and row[0] != held[-1][0]:
                 yield solve(held)
                 held, volume = [], 0
             held.append(row)
-            volume += len(row[2])
+            volume += len(row[3])
     if held:
         yield solve(held)
 
 
+_SEGMENT = ["mh", "s1", "s2"]
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", F.xxhash64("doc_id", "text").alias("loc"), "text")
+    k1, k2 = row_key(docs)
+    return docs.select("doc_id", k1.alias("k1"), k2.alias("k2"), "text")
 
 
 def removed_runs(docs: DataFrame, *, length: int = LENGTH, max_group: int = MAX_GROUP) -> DataFrame:
-    """(loc, start, n): string starts whose strings repeat, as runs; loc is the hash of doc_id and text."""
+    """(k1, k2, start, n): string starts whose strings repeat, as runs; k1 and k2 stand for the row."""
     spark = prepare(docs.sparkSession)
     keyed = _keyed(docs)
 
     def cutting(batch: pa.RecordBatch) -> dict:
         data, off = A.column_bytes(batch.column("text"))
-        loc = batch.column("loc").to_numpy()
+        keys = [batch.column(k).to_numpy() for k in ("k1", "k2")]
         parts = []
         for i, base, d, o in _pieces(data, off, length):
-            mh, sh, row, start, n, tie = segments(d, o, length)
-            parts.append((mh.view(np.int64), sh.view(np.int64), loc[i + row], (start + base) << 9 | tie << 8 | n))
-        mh, sh, at, pos = (np.concatenate(x) for x in zip(*parts, strict=True))
-        return {"mh": mh, "sh": sh, "loc": at, "pos": pos}
+            mh, content, row, start, n, tie = segments(d, o, length)
+            parts.append((mh.view(np.int64), content[:, 0], content[:, 1], *(k[i + row] for k in keys), (start + base) << 9 | tie << 8 | n))
+        return dict(zip((*_SEGMENT, "k1", "k2", "pos"), (np.concatenate(x) for x in zip(*parts, strict=True)), strict=True))
 
-    every = stored(arrow_map(keyed.select("loc", "text"), cutting, "mh long, sh long, loc long, pos long"))
+    every = stored(arrow_map(keyed.select("k1", "k2", "text"), cutting, "mh long, s1 long, s2 long, k1 long, k2 long, pos long"))
     twice = F.sum(F.expr("1 + (shiftright(pos, 8) & 1)"))  # a tied segment may repeat itself
     shared = cut(every.groupBy("mh").agg(twice.alias("c")).where("c > 1").select("mh"))  # a plain side, so that a hot key's partition can be split
     every = stored(every.join(shared, "mh"))
-    distinct = cut(every.groupBy("mh", "sh").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("loc", "pos")).alias("w")))
-    kinds = cut(distinct.select("mh", "w.pos").groupBy("mh").agg(twice.alias("kinds")).where("kinds > 1"))
+    least = [F.min_by(c, "k1").alias(c) for c in ("k2", "pos")]  # of the same place, as they are compared alike
+    distinct = cut(every.groupBy(*_SEGMENT).agg(F.count(F.lit(1)).alias("n"), F.min("k1").alias("k1"), *least))
+    kinds = cut(distinct.groupBy("mh").agg(twice.alias("kinds")).where("kinds > 1"))
 
     # one copy of each segment that shares its minimiser with different ones
-    mixed = distinct.join(kinds, "mh").select("mh", "sh", "n", "kinds", "w.loc", "w.pos")
-    by_row = mixed.groupBy("loc").agg(F.collect_list(F.struct("mh", "sh", "n", "kinds", "pos")).alias("parts"))
+    mixed = distinct.join(kinds, "mh")
+    by_row = mixed.groupBy("k1", "k2").agg(F.collect_list(F.struct(*_SEGMENT, "kinds", "pos")).alias("parts"))  # at most the row's segments
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -283,66 +286,72 @@ def removed_runs(docs: DataFrame, *, length: int = LENGTH, max_group: int = MAX_
             at = np.repeat(off[:-1], sizes) + (pos >> 9)
             raw = data.tobytes()
             cuts = [raw[s : s + m] for s, m in zip(at.tolist(), ((pos & 255) + length - 1).tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([parts.field("mh"), parts.field("sh"), parts.field("n"), parts.field("kinds"), pa.array(cuts, pa.binary())], ["mh", "sh", "n", "kinds", "body"])
+            yield pa.RecordBatch.from_arrays([*(parts.field(c) for c in _SEGMENT), parts.field("kinds"), pa.array(cuts, pa.binary())], [*_SEGMENT, "kinds", "body"])
 
-    bodies = stored(keyed.select("loc", "text").join(by_row, "loc").select("text", "parts").mapInArrow(texts, "mh long, sh long, n long, kinds long, body binary"))
-    gathered = bodies.where(F.col("kinds") <= max_group).select("mh", "sh", "body").repartition("mh").sortWithinPartitions("mh")
+    bodies = stored(keyed.select("k1", "k2", "text").join(by_row, ["k1", "k2"]).select("text", "parts").mapInArrow(texts, "mh long, s1 long, s2 long, kinds long, body binary"))
+    # repeated rows give their segments more than once
+    gathered = bodies.where(F.col("kinds") <= max_group).select(*_SEGMENT, "body").repartition("mh").sortWithinPartitions(*_SEGMENT)
     with batches_of(spark, 5_000):
-        found = stored(gathered.mapInArrow(lambda batches: _arrays(batches, length), "mh long, sh long, at binary, run binary").unionByName(_hot(bodies.where(F.col("kinds") > max_group), length)))
+        found = stored(gathered.mapInArrow(lambda batches: _arrays(batches, length), "mh long, s1 long, s2 long, at binary, run binary").unionByName(_hot(bodies.where(F.col("kinds") > max_group), length)))
 
     # all strings of a segment that occurs again repeat; of others, those that the arrays found
-    whole = distinct.where("n > 1").select("mh", "sh")
-    marks = every.join(whole, ["mh", "sh"]).select("loc", F.shiftright("pos", 9).cast("long").alias("start"), F.expr("pos & 255").alias("n"))
-    once = distinct.where("n = 1").select("mh", "sh", "w.loc", "w.pos")
+    whole = distinct.where("n > 1").select(*_SEGMENT)
+    marks = every.join(whole, _SEGMENT).select("k1", "k2", F.shiftright("pos", 9).cast("long").alias("start"), F.expr("pos & 255").alias("n"))
+    once = distinct.where("n = 1").select(*_SEGMENT, "k1", "k2", "pos")
 
     def spread(batch: pa.RecordBatch) -> dict:
         at, run = (A.column_bytes(batch.column(k)) for k in ("at", "run"))
         each = np.diff(at[1]) // 4
         pos = batch.column("pos").to_numpy()
-        return {"loc": np.repeat(batch.column("loc").to_numpy(), each), "start": np.repeat(pos >> 9, each) + np.frombuffer(at[0].tobytes(), np.int32), "n": np.frombuffer(run[0].tobytes(), np.int32).astype(np.int64)}
+        rows = {k: np.repeat(batch.column(k).to_numpy(), each) for k in ("k1", "k2")}
+        return rows | {"start": np.repeat(pos >> 9, each) + np.frombuffer(at[0].tobytes(), np.int32), "n": np.frombuffer(run[0].tobytes(), np.int32).astype(np.int64)}
 
-    return marks.union(arrow_map(once.join(found, ["mh", "sh"]).select("loc", "pos", "at", "run"), spread, "loc long, start long, n long"))
+    return marks.union(arrow_map(once.join(found, _SEGMENT).select("k1", "k2", "pos", "at", "run"), spread, "k1 long, k2 long, start long, n long"))
 
 
 def _hot(bodies: DataFrame, length: int) -> DataFrame:
     """Repeated strings of the segments of very common minimisers, by 128-bit hashes of whole strings."""
 
     def strings(batch: pa.RecordBatch) -> dict:
-        mh, sh, place, a, b = [], [], [], [], []
-        for m, s, body in zip(batch.column("mh").to_pylist(), batch.column("sh").to_pylist(), batch.column("body").to_pylist(), strict=True):
+        place, a, b = [], [], []
+        for body in batch.column("body").to_pylist():
             n = len(body) - length + 1
             got = np.frombuffer(b"".join([xxhash.xxh3_128_digest(body[k : k + length]) for k in range(n)]), np.int64).reshape(-1, 2)
-            mh.append(np.full(n, m))
-            sh.append(np.full(n, s))
             place.append(np.arange(n, dtype=np.int32))
             a.append(got[:, 0])
             b.append(got[:, 1])
-        return {k: np.concatenate(v) for k, v in zip(("mh", "sh", "place", "a", "b"), (mh, sh, place, a, b), strict=True)}
+        size = [len(x) for x in place]
+        rest = {k: np.concatenate(v) for k, v in zip(("place", "a", "b"), (place, a, b), strict=True)}
+        return {k: np.repeat(batch.column(k).to_numpy(), size) for k in _SEGMENT} | rest
 
-    each = arrow_map(bodies.select("mh", "sh", "body"), strings, "mh long, sh long, place int, a long, b long")
+    each = arrow_map(bodies.select(*_SEGMENT, "body").dropDuplicates(_SEGMENT), strings, "mh long, s1 long, s2 long, place int, a long, b long")
     again = each.groupBy("a", "b").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("a", "b")
-    hit = each.join(again, ["a", "b"]).groupBy("mh", "sh").agg(F.sort_array(F.collect_set("place")).alias("places"))
+    hit = each.join(again, ["a", "b"]).groupBy(*_SEGMENT).agg(F.sort_array(F.collect_set("place")).alias("places"))
 
     def pack(batch: pa.RecordBatch) -> dict:
         at = [np.array(x, np.int32) for x in batch.column("places").to_pylist()]
-        return {"mh": batch.column("mh"), "sh": batch.column("sh"), "at": pa.array([x.tobytes() for x in at], pa.binary()), "run": pa.array([np.ones_like(x).tobytes() for x in at], pa.binary())}
+        return {k: batch.column(k) for k in _SEGMENT} | {"at": pa.array([x.tobytes() for x in at], pa.binary()), "run": pa.array([np.ones_like(x).tobytes() for x in at], pa.binary())}
 
-    return arrow_map(hit, pack, "mh long, sh long, at binary, run binary")
+    return arrow_map(hit, pack, "mh long, s1 long, s2 long, at binary, run binary")
 
 
 def dedup(docs: DataFrame, *, length: int = LENGTH, max_group: int = MAX_GROUP) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept (the remaining bytes) and spans of every row."""
-    marks = removed_runs(docs, length=length, max_group=max_group).groupBy("loc").agg(F.collect_list("start").alias("start"), F.collect_list("n").alias("n"))
-    joined = _keyed(docs).join(cut(marks), "loc", "left").select("doc_id", "text", "start", "n")
+    marks = removed_runs(docs, length=length, max_group=max_group)
+    marks = marks.groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "n")).alias("runs"))  # at most the row's segments, however often it occurs
+    joined = _keyed(docs).join(cut(marks), ["k1", "k2"], "left").select("doc_id", "text", "runs")
 
     def rows(batch: pa.RecordBatch) -> dict:
         data, off = A.column_bytes(batch.column("text"))
         raw = data.tobytes()
         removed, spans, kept = [], [], []
-        for k, (s, n) in enumerate(zip(batch.column("start").to_pylist(), batch.column("n").to_pylist(), strict=True)):
+        runs = batch.column("runs")
+        bound = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(runs), 0).to_numpy())])
+        start, count = (runs.flatten().field(k).to_numpy() for k in ("start", "n"))
+        for k in range(len(runs)):
             body = raw[off[k] : off[k + 1]]
-            if s:
-                s, n = np.array(s), np.array(n)
+            if bound[k + 1] > bound[k]:
+                s, n = start[bound[k] : bound[k + 1]], count[bound[k] : bound[k + 1]]
                 edge = np.zeros(len(body) + 1, np.int32)
                 np.add.at(edge, s, 1)
                 np.add.at(edge, s + n + length - 1, -1)
