@@ -3,9 +3,10 @@
 Counts of 1-, 2- and 3-grams of code points (lower-cased, each whole text) are
 gathered with Spark from a bounded sample of each language, smoothed into a
 log-probability matrix of ``languages x 2**bits`` float32, broadcast, and summed
-over the n-grams of each text in numpy.
+over the n-grams of each text in numpy. The prior is a language's share of all rows to
+learn from, sampled or not.
 
-Defined results. A null text, and one without a letter, is ``und`` with score 0.
+Defined results. A null text, and one without a letter (Unicode category L), is ``und`` with score 0.
 Without learned languages every text is ``und``. Ties go to the language that
 sorts first. Repeated rows are predicted alike. Only ``doc_id``, ``text`` and, for
 learning, ``lang`` are read.
@@ -30,7 +31,7 @@ BITS = 14
 MAX_ROWS_PER_LANGUAGE = 1000
 SMOOTHING = 0.5
 UNDETERMINED = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = re.compile(r"[^\W\d_]")  # and other numbers, which ``isalpha`` (category L) tells apart
 _MULTIPLIERS = [np.uint32(x) for x in (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)]
 
 
@@ -72,7 +73,7 @@ class LanguageModel:
                 score[:, k] += A.per_row(self.log_probability[k][index], bound)
         best = score.argmax(1)
         share = 1.0 / np.exp(np.clip(score - score.max(1, keepdims=True), -700, 0)).sum(1)
-        letters = np.array([bool(_LETTER.search(t)) for t in texts])
+        letters = np.array([any(m[0].isalpha() for m in _LETTER.finditer(t)) for t in texts])
         return [self.languages[b] if ok else UNDETERMINED for b, ok in zip(best, letters, strict=True)], np.where(letters, share, 0.0)
 
 
@@ -95,17 +96,14 @@ def _runs(texts: list[str], limit: int = 1 << 18) -> Iterator[list[str]]:
 def train(docs: DataFrame, keep: Column | None = None, *, limit: int = MAX_ROWS_PER_LANGUAGE, bits: int = BITS) -> LanguageModel:
     """Counts about ``limit`` documents of each non-null language for which ``keep`` holds, all if it has no more.
 
-    The sample is chosen from ids alone, by comparing a hash of doc_id with the
-    language's sampling rate; the rates come from pre-aggregated counts, so a hot
-    language is never gathered.
+    A row is in the sample if a hash of its doc_id is below its language's sampling
+    rate; the rates come from pre-aggregated counts, one number a language, so that a hot
+    language is never gathered. Repeated rows count as often as they occur.
     """
     prepare(docs.sparkSession)
-    ids = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
-    ids = ids.where(keep) if keep is not None else ids
-    ids = ids.select("doc_id", F.col("lang").alias("language"))
-    rates = ids.groupBy("language").agg((F.lit(float(limit)) / F.count(F.lit(1))).alias("rate"))
-    ids = ids.join(rates, "language").where(F.shiftrightunsigned(F.xxhash64("doc_id"), 1) / F.lit(2.0**63) < F.col("rate"))
-    ids = ids.groupBy("doc_id").agg(F.min("language").alias("language"))
+    rows = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
+    rows = (rows.where(keep) if keep is not None else rows).select("doc_id", F.col("lang").alias("language"), "text")
+    sizes = {r.language: r.n for r in rows.groupBy("language").agg(F.count(F.lit(1)).alias("n")).collect()}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
@@ -118,7 +116,9 @@ def train(docs: DataFrame, keep: Column | None = None, *, limit: int = MAX_ROWS_
             at = np.flatnonzero(mine)
             yield pa.RecordBatch.from_arrays([pa.array([language] * len(at), pa.string()), pa.array(at), pa.array(mine[at])], ["language", "bucket", "n"])
 
-    sample = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("language", "text")
+    rates = docs.sparkSession.createDataFrame([(k, limit / n) for k, n in sorted(sizes.items())], "language string, rate double")
+    drawn = F.shiftrightunsigned(F.xxhash64("doc_id"), 1) / F.lit(2.0**63) < F.col("rate")
+    sample = rows.join(F.broadcast(rates), "language").where(drawn).select("language", "text")  # one rate a language, as the model has one row
     counts = sample.mapInArrow(count, "language string, bucket long, n long").groupBy("language", "bucket").agg(F.sum("n").alias("n")).toArrow()
     languages = sorted(set(counts.column("language").to_pylist()))
     table = np.full((len(languages), 1 << bits), SMOOTHING)
@@ -126,7 +126,8 @@ def train(docs: DataFrame, keep: Column | None = None, *, limit: int = MAX_ROWS_
     rows = np.array([place[x] for x in counts.column("language").to_pylist()], np.int64)
     np.add.at(table, (rows, counts.column("bucket").to_numpy()), counts.column("n").to_numpy())
     logp = np.log(table) - np.log(table.sum(1, keepdims=True))
-    return LanguageModel(languages, logp.astype(np.float32), np.zeros(len(languages)))
+    share = np.array([sizes[x] for x in languages], np.float64)
+    return LanguageModel(languages, logp.astype(np.float32), np.log(share / max(share.sum(), 1.0)))
 
 
 def identify(docs: DataFrame, model: LanguageModel, *extra: Column) -> DataFrame:

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -170,7 +171,8 @@ def test_language_scores_match_brute_force(spark):
             counts[x].update(part.tolist())
     text = "abé"
     found = [b for part in langid.grams([text], 10)[0] for b in part.tolist()]
-    score = {x: sum(np.log((counts[x][b] + 0.5) / (sum(counts[x].values()) + 0.5 * 1024)) for b in found) for x in "xy"}
+    prior = {"x": 1 / 3, "y": 2 / 3}  # shares of the training rows
+    score = {x: np.log(prior[x]) + sum(np.log((counts[x][b] + 0.5) / (sum(counts[x].values()) + 0.5 * 1024)) for b in found) for x in "xy"}
     said, share = model.predict([text])
     assert said[0] == max(score, key=score.get)
     assert abs(share[0] - 1 / (1 + np.exp(-abs(score["x"] - score["y"])))) < 1e-4
@@ -183,3 +185,41 @@ def test_queries_follow_their_contracts(spark):
         df = queries.QUERIES[name](spark, d)
         assert columns <= set(df.columns)
         assert df.count() == n
+
+
+def thue_morse(n=1024):
+    """A word and its complement, equal under any polynomial hash modulo 2**64 with an odd base."""
+    a = "".join("ab"[bin(k).count("1") & 1] for k in range(n))
+    return a, a.translate(str.maketrans("ab", "ba"))
+
+
+def test_figures_of_words_and_lines_that_weak_hashes_confuse():
+    a, b = thue_morse()
+    texts = [f"{a}\n{b}", f"{a}\n{b}\n{a}", " ".join([a, "b", "c", "d", "e", "q", b, "b", "c", "d", "e"]), " ".join([a, "b", "c", "d", "e"] * 2)]
+    x = quality_rules.base_figures(*A.column_bytes(pa.array(texts)))
+    assert x["n_dup_lines"].tolist() == [0, 1, 0, 0]
+    assert x["n_repeat_words"].tolist() == [0, 0, 0, 10]
+
+
+def test_spans_hash_alike_wherever_they_stand():
+    rng = np.random.default_rng(2)
+    body = rng.integers(97, 100, 900).astype(np.uint8)
+    data = np.concatenate([body, [32], body, [32, 97, 32], body[:300], [32], body[:301]]).astype(np.uint8)
+    h = A.span_hash(data, *A.words(data, np.array([0, len(data)])))
+    assert h[0] == h[1] and len(set(h.tolist())) == 4
+
+
+def test_only_letters_make_a_language(spark):
+    docs = spark.createDataFrame([(1, "abc abd", "x"), (2, "cde", "y"), (3, "½ ² Ⅷ 12 _", "y"), (4, "½ª", None)], DOCS + ", lang string")
+    got = {r.doc_id: (r.lang_pred, r.score) for r in langid.identify(docs, langid.train(docs, bits=10)).collect()}
+    assert got[3] == (langid.UNDETERMINED, 0.0)
+    assert got[4][0] in "xy"
+
+
+def test_repeated_rows_of_a_language_count_as_often_as_they_occur(spark):
+    docs = spark.createDataFrame([(1, "w " * 4000, "x"), (1, "w " * 4000, "x"), (2, "é", "y"), (None, "é", "z"), (3, None, "y")], DOCS + ", lang string")
+    model = langid.train(docs)
+    assert model.languages == ["x", "y"]
+    assert np.allclose(np.exp(model.prior), [0.5, 0.5])
+    got = langid.identify(docs, model).select("doc_id", "lang_pred").collect()
+    assert sorted((tuple(r) for r in got), key=str) == sorted([(1, "x"), (1, "x"), (2, "y"), (None, "y"), (3, "und")], key=str)
