@@ -13,17 +13,17 @@ follow from cutting a text at the matches: pieces and matches alternate.
 
 Defined results. Null content is the empty text, without findings. Repeated rows and
 copies share a blob and all get its findings. An empty table gives an empty result.
-Other columns pass through ``join_back`` untouched.
+Other columns pass through ``join_back`` untouched, but for one named ``findings``, which is replaced.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .runtime import cut
+from .runtime import fresh, shared_path
 
 
 @dataclass(frozen=True)
@@ -33,7 +33,6 @@ class Rule:
     least: int
     group: int = 0  # the group whose length counts
     version: int = 1
-    hint: str = ""  # a literal that every match holds, in any case
 
 
 #: Base rules, in the order in which kinds sort at one start, then the added ones. Fixed values.
@@ -72,13 +71,23 @@ def _matches(text: Column, rule: Rule) -> Column:
     return F.when(F.regexp_like(text, pattern), found).otherwise(F.array().cast(FINDING))
 
 
-def blobs(versions: DataFrame, content: str = "text") -> DataFrame:
-    """The versions with ``blob``, the address of their content."""
-    return versions.withColumn("blob", F.sha2(F.coalesce(F.col(content), F.lit("")).cast("binary"), 256))
+_LEDGER = f"blob string, rule string, version int, found {FINDING}"
+
+
+def _blob(content: str) -> Column:
+    """The address of the content."""
+    return F.sha2(F.coalesce(F.col(f"`{content}`"), F.lit("")).cast("binary"), 256)
 
 
 def empty_ledger(versions: DataFrame) -> DataFrame:
-    return versions.sparkSession.createDataFrame([], f"blob string, rule string, version int, found {FINDING}")
+    return versions.sparkSession.createDataFrame([], _LEDGER)
+
+
+def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """The ledger at a path in a shared file system; without one, an empty ledger."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there = place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+    return spark.read.schema(_LEDGER).parquet(path) if there else spark.createDataFrame([], _LEDGER)
 
 
 def scan(versions: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES, content: str = "text") -> DataFrame:
@@ -87,7 +96,7 @@ def scan(versions: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule
     Append the result to the ledger; ``found`` is empty for a clean pair, so that it
     is not scanned again.
     """
-    once = blobs(versions, content).select("blob", F.coalesce(F.col(content), F.lit("")).alias("__text")).dropDuplicates(["blob"])
+    once = versions.select(_blob(content).alias("blob"), F.coalesce(F.col(f"`{content}`"), F.lit("")).alias("__text")).dropDuplicates(["blob"])
     wanted = F.array(*(F.struct(F.lit(r.kind).alias("rule"), F.lit(r.version).alias("version")) for r in rules))
     if ledger is None:
         todo = once.withColumn("__todo", wanted)
@@ -109,15 +118,16 @@ def scan(versions: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule
 
 
 def join_back(versions: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULES, content: str = "text") -> DataFrame:
-    """All versions with ``findings``: spans of the given rule versions, by start, then rule order."""
+    """All versions with ``findings``: spans of the given rule versions, by start, then rule order. A column of that name is replaced."""
     order = F.create_map(*(x for k, r in enumerate(rules) for x in (F.lit(r.kind), F.lit(k))))
     current = F.create_map(*(x for r in rules for x in (F.lit(r.kind), F.lit(r.version))))
     found = ledger.where((F.size("found") > 0) & (current[F.col("rule")] == F.col("version")))
     sortable = F.transform("found", lambda f: F.struct(f["start"].alias("start"), order[f["kind"]].alias("rank"), f["end"].alias("end"), f["kind"].alias("kind")))
-    per_blob = found.groupBy("blob").agg(F.sort_array(F.flatten(F.collect_list(sortable))).alias("findings"))
-    joined = blobs(versions, content).join(per_blob, "blob", "left")
-    plain = F.transform("findings", lambda f: F.struct(f["kind"].alias("kind"), f["start"].alias("start"), f["end"].alias("end")))
-    return joined.withColumn("findings", F.coalesce(plain, F.array().cast(FINDING)))
+    key, spans = (fresh(x, versions.columns) for x in ("blob_address", "blob_spans"))
+    per_blob = found.groupBy(F.col("blob").alias(key)).agg(F.sort_array(F.flatten(F.collect_list(sortable))).alias(spans))
+    joined = versions.withColumn(key, _blob(content)).join(per_blob, key, "left")
+    plain = F.transform(spans, lambda f: F.struct(f["kind"].alias("kind"), f["start"].alias("start"), f["end"].alias("end")))
+    return joined.withColumn("findings", F.coalesce(plain, F.array().cast(FINDING))).drop(key, spans)
 
 
 def digest(spans: Column) -> Column:
@@ -125,7 +135,15 @@ def digest(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda f: F.concat_ws(":", f["kind"], f["start"].cast("string"), f["end"].cast("string"))), ",")
 
 
-def scan_all(versions: DataFrame, rules: tuple[Rule, ...] = RULES, content: str = "text") -> DataFrame:
-    """A first scan, without a stored ledger, joined back to every version."""
+def update(versions: DataFrame, path: str, rules: tuple[Rule, ...] = RULES, content: str = "text") -> DataFrame:
+    """Scans what the ledger at ``path`` lacks, appends the entries, clean pairs included, and gives the whole ledger."""
+    spark = versions.sparkSession
+    scan(versions, read_ledger(spark, path), rules, content).write.mode("append").option("compression", "zstd").parquet(path)
+    return read_ledger(spark, path)
+
+
+def scan_all(versions: DataFrame, rules: tuple[Rule, ...] = RULES, content: str = "text", path: str | None = None) -> DataFrame:
+    """Brings the ledger at ``path`` up to date and joins its findings back to every version; without a path, a new ledger in the checkpoint folder."""
     slim = versions.select("doc_id", content)
-    return join_back(slim, cut(scan(slim, None, rules, content).where(F.size("found") > 0)), rules, content)
+    path = path or shared_path(versions.sparkSession, "ledger-")
+    return join_back(slim, update(slim, path, rules, content), rules, content)

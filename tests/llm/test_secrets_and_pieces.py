@@ -64,6 +64,19 @@ def test_ledger_scans_only_what_is_new(spark):
     assert secret_scan.scan(one.where("false")).isEmpty()
 
 
+def test_stored_ledger_and_clashing_columns(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "token=abcdefgh1", "b", 5), (2, None, "b", 6)], DOCS + ", blob string, findings int")
+    path = str(tmp_path / "ledger")
+    first = secret_scan.update(docs, path)
+    assert first.count() == 2 * len(secret_scan.RULES)  # clean pairs, too
+    assert secret_scan.scan(docs, secret_scan.read_ledger(spark, path)).isEmpty()
+    assert secret_scan.update(docs, path).count() == 2 * len(secret_scan.RULES)
+    back = {r.doc_id: r for r in secret_scan.join_back(docs, secret_scan.read_ledger(spark, path)).collect()}
+    assert [len(back[k].findings) for k in (1, 2)] == [1, 0]
+    assert back[1].blob == "b"
+    assert secret_scan.scan_all(docs.where("false")).isEmpty()
+
+
 def test_secret_scan_is_native(spark):
     docs = spark.createDataFrame(secret_rows()[:3], DOCS)
     plan = secret_scan.scan(docs.select("doc_id", "text"))._jdf.queryExecution().executedPlan().toString()
