@@ -60,15 +60,14 @@ def base_figures(data: np.ndarray, off: np.ndarray) -> dict[str, np.ndarray]:
     start, end = A.words(data, off)
     bound = np.searchsorted(start, off)
     row = np.repeat(np.arange(n), np.diff(bound))
-    prefix = A.prefix_hash(data)
     inside = ~A.IS_SPACE[data]
     n_words = np.diff(bound)
-    repeated = np.bincount(row[A.repeated_windows(A.slice_hash(prefix, start, end), row)], minlength=n)
+    repeated = np.bincount(row[A.repeated_windows(A.span_hash(data, start, end), row)], minlength=n)
     ls, le, lrow = A.lines(data, off)
     cover = np.concatenate([[0], np.cumsum(inside)])
     full = cover[le] > cover[ls]
     ls, le, lrow = ls[full], le[full], lrow[full]
-    key = A.mix(A.slice_hash(prefix, ls, le) + lrow.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    key = A.mix(A.span_hash(data, ls, le) + lrow.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
     first = np.unique(key, return_index=True)[1]
     dup = np.bincount(lrow, minlength=n) - np.bincount(lrow[first], minlength=n)
     return {
