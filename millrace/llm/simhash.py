@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from . import arrays as A
 from .graph import connected, local_roots
-from .runtime import arrow_map, batches_of, cut, prepare
+from .runtime import arrow_map, batches_of, cut, fresh, prepare
 
 RADIUS = 3
 MAX_BUCKET = 512
@@ -69,8 +69,8 @@ def fingerprints_of(data: np.ndarray, off: np.ndarray, width: int = WIDTH) -> np
     return out
 
 
-def fingerprints(docs: DataFrame, width: int = WIDTH, *, keep_columns: bool = False) -> DataFrame:
-    """doc_id (or all columns) and simhash, the fingerprint as a signed long, of every row."""
+def fingerprints(docs: DataFrame, width: int = WIDTH, *, keep_columns: bool = False, column: str = "simhash") -> DataFrame:
+    """doc_id (or all columns) and the fingerprint as a signed long in ``column``, of every row."""
     prepare(docs.sparkSession)
     source = docs if keep_columns else docs.select("doc_id", "text")
     names = [f.name for f in source.schema.fields if keep_columns or f.name != "text"]
@@ -79,9 +79,9 @@ def fingerprints(docs: DataFrame, width: int = WIDTH, *, keep_columns: bool = Fa
         for batch in batches:
             if batch.num_rows:
                 found = np.concatenate([fingerprints_of(d, o, width) for _, _, d, o in A.blocks(*A.column_bytes(batch.column(batch.schema.names.index("text"))))])
-                yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.names.index(n)) for n in names), pa.array(found.view(np.int64))], [*names, "simhash"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.names.index(n)) for n in names), pa.array(found.view(np.int64))], [*names, column])
 
-    schema = source.select(*names).withColumn("simhash", F.lit(0).cast("long")).schema
+    schema = source.select(*names).withColumn(column, F.lit(0).cast("long")).schema
     return source.mapInArrow(rows, schema)
 
 
@@ -185,13 +185,14 @@ def keep_one(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     # an id may stand on rows of several fingerprints, in one component or in more
     chosen = each.groupBy("root").agg(F.first("doc_id").alias("doc_id"), F.min("simhash").alias("simhash"))
     rows = prints.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
-    chosen = cut(chosen.join(rows, chosen["doc_id"].eqNullSafe(rows["doc_id"])).select(chosen["doc_id"].alias("__id"), F.col("simhash").alias("__fp"), "rows"))
-    single = chosen.where("rows = 1 AND __id IS NOT NULL").select("__id")
-    kept = docs.join(single, docs["doc_id"] == single["__id"], "left_semi")
-    several = chosen.where("rows > 1 OR __id IS NULL").select("__id", "__fp")
+    ident, fp, mine = (fresh(x, docs.columns) for x in ("id", "fp", "print"))
+    chosen = cut(chosen.join(rows, chosen["doc_id"].eqNullSafe(rows["doc_id"])).select(chosen["doc_id"].alias(ident), F.col("simhash").alias(fp), rows["rows"].alias(fresh("rows", docs.columns))))
+    many = F.col(chosen.columns[2]) > 1
+    single = chosen.where(~many & F.col(ident).isNotNull()).select(ident)
+    kept = docs.join(single, docs["doc_id"] == single[ident], "left_semi")
+    several = chosen.where(many | F.col(ident).isNull()).select(ident, fp)
     if several.isEmpty():
         return kept
-    marked = docs.join(several, docs["doc_id"].eqNullSafe(several["__id"]), "left_semi")
-    marked = fingerprints(marked, width, keep_columns=True)
-    marked = marked.withColumn("__key", F.col("doc_id")).join(several, F.col("__key").eqNullSafe(F.col("__id")) & (F.col("simhash") == F.col("__fp")), "left_semi")
-    return kept.union(marked.dropDuplicates(["doc_id", "simhash"]).select(*docs.columns))
+    marked = fingerprints(docs.join(several, docs["doc_id"].eqNullSafe(several[ident]), "left_semi"), width, keep_columns=True, column=mine)
+    marked = marked.join(several, marked["doc_id"].eqNullSafe(several[ident]) & (marked[mine] == several[fp]), "left_semi")
+    return kept.union(marked.dropDuplicates(["doc_id", mine]).select(*docs.columns))

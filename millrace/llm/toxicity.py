@@ -42,11 +42,11 @@ def word_features(data: np.ndarray, off: np.ndarray, bits: int = BITS) -> tuple[
     """Feature numbers and rows of every letter-digit run: the whole run and its 4-, 5- and 6-byte beginnings."""
     start, end = A.spans(_IN_WORD[data], off)
     row = np.searchsorted(off, start, "right") - 1
-    prefix = A.prefix_hash(A.LOWER[data])
-    index, rows = [A.slice_hash(prefix, start, end)], [row]
+    low = A.LOWER[data]
+    index, rows = [A.span_hash(low, start, end)], [row]
     for n in (4, 5, 6):
         long = end - start > n
-        index.append(A.mix(A.slice_hash(prefix, start[long], start[long] + n) + np.uint64(n)))
+        index.append(A.mix(A.span_hash(low, start[long], start[long] + n) + np.uint64(n)))
         rows.append(row[long])
     return (np.concatenate(index) >> np.uint64(64 - bits)).astype(np.int64), np.concatenate(rows)
 
