@@ -21,18 +21,18 @@ def _record(*names: str) -> T.StructType:
     return T.StructType([T.StructField(n, _TEXT) for n in names])
 
 
-def text_map(function: Callable[[str], str]) -> Callable[[Column], Column]:
-    """A text-to-text UDF; null stays null."""
+def text_map(function: Callable[[str], str], concerns: str | None = None) -> Callable[[Column], Column]:
+    """A text-to-text UDF; null stays null. Texts that the pattern ``concerns`` is not found in do not leave the JVM."""
 
     @F.pandas_udf(_TEXT)
     def run(s: pd.Series) -> pd.Series:
         return s.map(function, na_action="ignore")
 
-    return lambda c: none_if_blank(run(c))
+    return lambda c: none_if_blank(F.coalesce(run(F.when(F.regexp_like(c, F.lit(concerns)), c)), c) if concerns else run(c))
 
 
-normalize_unicode = text_map(K.normalize_unicode)
-collapse_repeats = text_map(K.collapse_repeats)
+normalize_unicode = text_map(K.normalize_unicode, r"[<&]|[^\x00-\x7F]")
+collapse_repeats = text_map(K.collapse_repeats, r"(?ius)(.)\1\1|([!?,:;\-*=+/])\2")
 
 
 def explain_emoji(lexicon: dict[str, tuple[str, str]]) -> Callable[[Column], Column]:

@@ -12,15 +12,15 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .kernels import EMOJI_SPANS, strip_diacritics
+
+EMOJI_RANGES = "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in EMOJI_SPANS)
+#: All Unicode white space.
+SPACES = "\t\n\x0b\f\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 WORD = r"[\p{L}\p{N}_]"
 NOT_BEFORE, NOT_AFTER = rf"(?<!{WORD})", rf"(?!{WORD})"
 
 # Patterns and word lists of the rules.
-EMOJI_RANGES = (
-    r"\x{1F1E6}-\x{1F1FF}\x{1F300}-\x{1F5FF}\x{1F600}-\x{1F64F}\x{1F680}-\x{1F6FF}\x{1F700}-\x{1F77F}"
-    r"\x{1F780}-\x{1F7FF}\x{1F800}-\x{1F8FF}\x{1F900}-\x{1F9FF}\x{1FA00}-\x{1FA6F}\x{1FA70}-\x{1FAFF}"
-    r"\x{2600}-\x{26FF}\x{2700}-\x{27BF}\x{2300}-\x{23FF}\x{2B00}-\x{2BFF}\x{FE0F}\x{200D}\x{20E3}"
-)
 DOMAIN_ENDS = "com|net|org|vn|store|info|biz|io"
 ACCENTED = "àáảãạăằắẳẵặâầấẩẫậđèéẻẽẹêềếểễệìíỉĩịòóỏõọôồốổỗộơờớởỡợùúủũụưừứửữựỳýỷỹỵ"
 PLAIN_VIETNAMESE = (
@@ -49,11 +49,11 @@ def matches(c: Column, pattern: str) -> Column:
 
 def trim_all(c: Column) -> Column:
     """Strips all Unicode white space at both ends."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    return F.btrim(c, F.lit(SPACES))
 
 
 def blank(c: Column) -> Column:
-    return F.coalesce(trim_all(c.cast("string")) == "", F.lit(True))
+    return ~matches(c.cast("string"), r"(?U)\S")
 
 
 def none_if_blank(c: Column) -> Column:
@@ -68,7 +68,7 @@ def squeeze_spaces(c: Column) -> Column:
 
 def word_count(c: Column) -> Column:
     """Number of runs between white space; 0 for blank text."""
-    return F.when(blank(c), 0).otherwise(F.size(F.split(trim_all(c), r"(?U)\s+")))
+    return F.coalesce(F.regexp_count(c, F.lit(r"(?U)\S++")), F.lit(0))
 
 
 def contains_url(c: Column) -> Column:
@@ -101,7 +101,8 @@ def has_accent(c: Column) -> Column:
 
 
 def is_short(c: Column, most: int) -> Column:
-    return word_count(c).between(1, most)
+    """One to ``most`` words; a long text is read no further than that."""
+    return matches(c, rf"(?U)\A\s*+\S++(?:\s++\S++){{0,{most - 1}}}+\s*+\z") if most > 0 else F.lit(False)
 
 
 def tokens(c: Column) -> Column:
@@ -119,17 +120,34 @@ def contains_term(c: Column, terms: list[str]) -> Column:
     return matches(c, alternation(terms)) if terms else F.lit(False)
 
 
+def trie(terms: list[str]) -> str:
+    """A pattern for any of the terms in which common beginnings are tried once."""
+    by_first: dict[str, list[str]] = {}
+    for t in sorted(set(terms)):
+        if t:
+            by_first.setdefault(t[0], []).append(t[1:])
+    body = "|".join(rf"\Q{c}\E{trie(rest)}" for c, rest in by_first.items())
+    return f"(?:{body}){'?' if '' in terms else ''}" if body else ""
+
+
+_LETTER = r"[\p{L}\p{Nl}\p{No}]"
+
+
+def _in_list(words: list[str]) -> str:
+    return f"(?<!{_LETTER}){trie(words)}(?!{_LETTER})"
+
+
 def language(c: Column, least_share: float = 0.95) -> Column:
-    """``vi``, ``drop`` or ``suspect`` by letters and two word lists."""
-    found = F.regexp_extract_all(F.lower(c), F.lit(r"([\p{L}\p{Nl}\p{No}]+)"), F.lit(1))
-    english = F.size(F.filter(found, lambda t: t.isin(COMMON_ENGLISH)))
+    """``vi``, ``drop`` or ``suspect`` by letters and two word lists; later tests run only where earlier ones leave it open."""
+    low = F.lower(c)
+    found = F.regexp_count(low, F.lit(_LETTER + "++"))
     return (
         F.when(has_accent(c), "vi")
         .when(~matches(c, r"\p{L}"), "vi")
         .when(matches(c, r"[\p{L}&&[^\p{IsLatin}]]|[ªº]"), "drop")
-        .when(F.arrays_overlap(found, F.array(*map(F.lit, PLAIN_VIETNAMESE))), "vi")
-        .when(english == 0, "vi")
-        .when((F.size(found) >= 3) & (english / F.greatest(F.size(found), F.lit(1)) >= least_share), "drop")
+        .when(matches(low, _in_list(PLAIN_VIETNAMESE)), "vi")
+        .when(~matches(low, _in_list(COMMON_ENGLISH)), "vi")
+        .when((found >= 3) & (F.regexp_count(low, F.lit(_in_list(COMMON_ENGLISH))) / F.greatest(found, F.lit(1)) >= least_share), "drop")
         .otherwise("suspect")
     )
 
@@ -153,11 +171,12 @@ def strip_accents(c: Column) -> Column:
     return F.translate(c, _MARKED + _MARKED.upper(), _BASE + _BASE.upper())
 
 
-def match_case(original: Column, fixed: Column) -> Column:
-    first = F.substring(original, 1, 1)
-    is_upper = (F.upper(original) == original) & (F.lower(original) != original)
-    capital = F.concat(F.upper(F.substring(fixed, 1, 1)), F.lower(F.substring(fixed, 2, 1 << 20)))
-    return F.when((F.length(original) > 1) & is_upper, F.upper(fixed)).when((F.upper(first) == first) & (F.lower(first) != first), capital).otherwise(fixed)
+_PLAIN = {c: p for c in map(chr, [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)]) if len(p := strip_diacritics(c)) == 1 and p != c}
+
+
+def strip_marks(c: Column) -> Column:
+    """Latin letters without any marks, as ``kernels.strip_diacritics`` has them."""
+    return F.translate(c, "".join(_PLAIN), "".join(_PLAIN.values()))
 
 
 def markdown_cell(c: Column) -> Column:

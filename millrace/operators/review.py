@@ -16,14 +16,13 @@ _log = logging.getLogger(__name__)
 def _validated(suspect: DataFrame, checked: DataFrame, products: list[str], label: str) -> DataFrame:
     """The checked rows with product and row keys; raises on unknown products, repeated keys and rows never set aside."""
     keyed = checked.withColumns({PRODUCT: F.col(f"`{PRODUCT_NAME}`"), ROW: F.col(f"`{SOURCE_ROW}`").cast("long") - 2})
-    unknown = [r[0] for r in keyed.select(PRODUCT).distinct().where(~F.coalesce(F.col(PRODUCT).isin(products), F.lit(False))).limit(5).collect()]
-    if unknown:
-        raise ValueError(f"{label}: unknown products {unknown}")
-    keys = keyed.groupBy(PRODUCT, ROW).agg(F.count(F.lit(1)).alias("n"))
-    if twice := keys.where("n > 1").limit(5).collect():
-        raise ValueError(f"{label}: rows checked more than once: {[tuple(r)[:2] for r in twice]}")
-    if stray := keys.join(suspect, [PRODUCT, ROW], "left_anti").limit(5).collect():
-        raise ValueError(f"{label}: rows that were not set aside: {[tuple(r)[:2] for r in stray]}")
+    # keys only, in one job: what is wrong with each, the gravest first
+    keys = keyed.groupBy(PRODUCT, ROW).agg(F.count(F.lit(1)).alias("n")).join(suspect.select(PRODUCT, ROW, F.lit(True).alias("aside")), [PRODUCT, ROW], "left")
+    fault = F.when(~F.coalesce(F.col(PRODUCT).isin(products), F.lit(False)), 0).when(F.col("n") > 1, 1).when(F.col("aside").isNull(), 2)
+    wrong = keys.select(fault.alias("fault"), PRODUCT, ROW).where("fault IS NOT NULL").orderBy("fault", PRODUCT, ROW).limit(5).collect()
+    if wrong:
+        what = ("unknown products", "rows checked more than once:", "rows that were not set aside:")[wrong[0].fault]
+        raise ValueError(f"{label}: {what} {[tuple(r)[1:] for r in wrong if r.fault == wrong[0].fault]}")
     return keyed.drop(PRODUCT_NAME, SOURCE_ROW)
 
 
