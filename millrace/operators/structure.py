@@ -15,9 +15,22 @@ CRAWL_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSSSS][.SSSS][.SSS][.SS][.S]X"
 
 
 def with_position(df: DataFrame, product: str, ordinal: int, *order: str) -> DataFrame:
-    """Adds the bookkeeping columns to one product's table, rows numbered by ``order``."""
-    place = F.row_number().over(Window.partitionBy(F.lit(1)).orderBy(*order)) - 1
-    return df.select("*", F.lit(product).alias(PRODUCT), F.lit(ordinal).alias(PRODUCT_ORD), place.cast("long").alias(ROW))
+    """Adds the bookkeeping columns to one product's table, rows numbered by ``order``, or as the files have them.
+
+    File order needs no sort: a row's number in its partition is added to the sizes of the
+    partitions before, one number each. Numbering by ``order`` sorts in one task.
+    """
+    names = [F.lit(product).alias(PRODUCT), F.lit(ordinal).alias(PRODUCT_ORD)]
+    if order:
+        return df.select("*", *names, (F.row_number().over(Window.partitionBy(F.lit(1)).orderBy(*order)) - 1).cast("long").alias(ROW))
+    place = F.monotonically_increasing_id()  # partition number in the upper bits
+    sizes = df.select(F.shiftright(place, 33).alias("part")).groupBy("part").agg(F.count(F.lit(1)).alias("n")).orderBy("part").collect()
+    before, shift = 0, []
+    for r in sizes:
+        shift += [F.lit(r.part), F.lit(before)]
+        before += r.n
+    first = F.element_at(F.create_map(*shift), F.shiftright("__at", 33)) if shift else F.lit(0)
+    return df.withColumn("__at", place).select(*(f"`{c}`" for c in df.columns), *names, (first + F.col("__at").bitwiseAND((1 << 33) - 1)).cast("long").alias(ROW))
 
 
 def assign_review_id(df: DataFrame, content: str = CONTENT) -> DataFrame:

@@ -63,7 +63,7 @@ def read_products(spark: SparkSession, products: Products, order: list[str] | No
     for k, name in enumerate(products.names()):
         df = read_reviews(spark, products.path(name))
         if ROW not in df.columns:
-            df = with_position(df, name, k, *order) if order else with_position(df.withColumn("__at", F.monotonically_increasing_id()), name, k, "__at").drop("__at")
+            df = with_position(df, name, k, *(order or []))
         out = df if out is None else out.unionByName(df, allowMissingColumns=True)
     return out
 
@@ -82,9 +82,17 @@ def write_markdown(df: DataFrame, path: str, *order: str) -> None:
     """A pipe table in one file: meant for reports of bounded size."""
     names = [c for c in df.columns if c not in order or c not in (PRODUCT_ORD, ROW)]
     row = F.concat(F.lit("| "), F.concat_ws(" | ", *(markdown_cell(F.col(f"`{c}`")) for c in names)), F.lit(" |"))
-    head = [("| " + " | ".join(names) + " |",), ("| " + " | ".join("---" for _ in names) + " |",)]
-    lines = df.orderBy(*order).select(row.alias("value")) if order else df.select(row.alias("value"))
-    df.sparkSession.createDataFrame(head, "value string").coalesce(1).union(lines).coalesce(1).write.mode("overwrite").text(path)
+    head = [(k, "| " + " | ".join(cells) + " |") for k, cells in enumerate((names, ["---"] * len(names)))]
+    place = F.struct(*(f"`{c}`" for c in order)) if order else F.struct(F.monotonically_increasing_id().alias("at"))
+    lines = df.select(F.lit(len(head)).alias("part"), row.alias("value"), place.alias("place"))
+    first = df.sparkSession.createDataFrame(head, "part int, value string")
+    whole = first.unionByName(lines, allowMissingColumns=True).repartition(1).sortWithinPartitions("part", "place")
+    whole.select("value").write.mode("overwrite").text(path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
 def checkpoint_path(root: str, version: str, step: str) -> str:
@@ -108,8 +116,9 @@ def read_checkpoint(spark: SparkSession, root: str, version: str, step: str) ->
 
 
 def write_suspects(df: DataFrame, root: str, step: str) -> None:
-    """Rows set aside, by product, as Parquet and as CSV for people."""
-    df.write.mode("overwrite").partitionBy(PRODUCT).parquet(f"{root}/suspect/{step}")
+    """Rows set aside, and reports, as Parquet (by product where they have one) and as CSV for people."""
+    out = df.write.mode("overwrite")
+    (out.partitionBy(PRODUCT) if PRODUCT in df.columns else out).parquet(f"{root}/suspect/{step}")
     plain = df.select(*(F.to_json(f"`{c}`").alias(c) if kind.startswith(("array", "map", "struct")) else F.col(f"`{c}`") for c, kind in df.dtypes))
     without_zone(plain).write.mode("overwrite").csv(f"{root}/suspect_csv/{step}", header=True, quoteAll=True, escape='"')
 

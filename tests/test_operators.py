@@ -185,11 +185,17 @@ LEXICON = Lexicon(
 )
 
 
-def test_votes():
-    assert lexical.vote({lexical.RULE: "nhé / nhà", lexical.NORMS: "nhà"}) == ("nhà", 2)
-    assert lexical.vote({lexical.RULE: "a", lexical.NORMS: "b"}) == ("a", 1)
-    assert lexical.vote({}) == ("", 0)
-    assert lexical.vote({lexical.RULE: "a", lexical.NORMS: "a", lexical.ACCENTER: "b"}, lexical.ACCENTER) == ("b", 1)
+def test_votes(spark):
+    def vote(kind="x", **said):
+        names = {"rule": lexical.RULE, "norms": lexical.NORMS, "accenter": lexical.ACCENTER}
+        opinions = F.array(*(F.struct(F.lit(names[k]).alias("source"), F.lit(v).alias("said")) for k, v in said.items())).cast("array<struct<source:string,said:string>>")
+        return tuple(spark.range(1).select(lexical.tally(F.lit(kind), opinions).alias("t")).first().t)
+
+    assert vote(rule="nhé / nhà", norms="nhà") == ("nhà", 2)
+    assert vote(rule="a", norms="b") == ("a", 1)
+    assert vote() == ("", 0)
+    assert vote(lexical.UNACCENTED, rule="a", norms="a", accenter="b") == ("b", 1)
+    assert vote(rule="a", norms="a", accenter="b") == ("a", 2)
 
 
 def test_lexical_flow(spark):
@@ -239,3 +245,28 @@ def test_context_models(spark):
     chunks = context_models.correct_by_chunks(df, lambda: context_models.DictionaryModel({"ngừoi": "người"}))
     assert contents(chunks, CORRECTED) == ["Ko tốt người bán"]
     assert context_models.accent_tags("duoc", ["-", "uo-ươ"]) == "dươc"
+
+
+def test_accent_model(spark):
+    assert context_models.accented_forms("a b-c d", "á b-ć x y") == {"a": "á", "b": lexical.KEEP, "c": "ć", "d": "x"}
+    assert context_models.accented_forms("a-b c", "ab ć") == {"a": "", "b": "", "c": "ć"}
+    df = table(spark, ["giao hang nhanh", "hàng hàng hàng tốt"], [CONTENT])
+    rows = lexical.suspect_rows(df, lexical.nonstandard_tokens(lexical.token_stats(df, LEXICON), LEXICON))
+    model = lambda: context_models.DictionaryModel({"hang": "hãng"})
+    with_model = context_models.accent_context(rows, model)
+    assert with_model.orderBy(ROW).first()["accenter"] == {"hang": "hãng"}
+    detail = lexical.annotate_suggestions(with_model, LEXICON, {lexical.ACCENTER: "accenter"}).orderBy(ROW).first()[lexical.TOKEN_DETAIL]
+    assert detail == "hang -> hãng [thiếu/sai dấu] (1/3: model dấu=hãng; luật=hàng; ViLexNorm=hàng)"
+
+
+def test_criterion_values(spark):
+    rows = [("hàng hàng hàng tốt", "hang tốt"), ("x", "hang tốt"), ("x", "ko tốt, hang đẹp và nhanh"), ("x", None)]
+    df = table(spark, rows, [CONTENT, "Size"])
+    nonstandard = lexical.nonstandard_tokens(lexical.token_stats(df.withColumn(CONTENT, F.concat_ws(" ", CONTENT, "Size")), LEXICON), LEXICON)
+    values = lexical.corrected_values(lexical.suspect_values(df, nonstandard))
+    got = [(r["value"], r["n"], r[lexical.NORMALISED], r[lexical.REPLACED]) for r in values.collect()]
+    assert got == [("hang tốt", 2, "hàng tốt", "hang -> hàng"), ("ko tốt, hang đẹp và nhanh", 1, "không tốt, hang đẹp và nhanh", "ko -> không")]
+    out = lexical.apply_value_corrections(df, values)
+    assert out.columns[-1] == "Size (chuẩn hoá)"
+    assert contents(out, "Size (chuẩn hoá)") == ["hàng tốt", "hàng tốt", "không tốt, hang đẹp và nhanh", None]
+    assert [tuple(r) for r in lexical.change_counts(values).collect()] == [("hang -> hàng (tiêu chí)", 1), ("ko -> không (tiêu chí)", 1)]
