@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import batched
 from ..functions import text as X
-from ..operators import coarse, lexical, neardup, normalize, structure
+from ..operators import coarse, context_models, lexical, neardup, normalize, structure
 from ..operators.diff import diff_rows
 from ..operators.review import apply_spelling_review, merge_checked_rows
 from ..schema import AUTHOR, CONTENT, CORRECTED, CRAWLED, CRITERIA, EMOJI_SENTIMENT, EMOJIS, MOVED, POSTED, PRODUCT, PRODUCT_NAME, PRODUCT_ORD, REVIEW_ID, ROW, SOURCE_ROW, TEXT_NORM
@@ -190,7 +190,17 @@ def remove_special_chars(spark, sf_dir):
     return plain(normalize.remove_meaningless_special_chars(rows), row=ROW, content=CONTENT)
 
 
-@query()
+# Backreferences are not in SQL's patterns: one replacement for each letter and each mark.
+_COLLAPSED = "text"
+for _c in "abcdefghijklmnopqrstuvwxyzàáâäãçèéêëìíîïñòóôöõùúûüß":
+    _both = _c + _c.upper() if _c != "ß" else _c
+    _COLLAPSED = f"regexp_replace({_COLLAPSED}, '([{_both}])[{_both}]{{2,}}', '\\1', 'g')"
+for _c in "!?,:;-*=+/":
+    _COLLAPSED = f"regexp_replace({_COLLAPSED}, '[{_c}]{{2,}}', '{_c}', 'g')"
+_COLLAPSED = rf"regexp_replace({_COLLAPSED}, '\.{{3,}}', '...', 'g')"
+
+
+@query(f"SELECT doc_id AS row, {_COLLAPSED} || ' đẹp quá! good ...' AS content FROM documents")
 def collapse_repeats(spark, sf_dir):
     rows = reviews(spark, sf_dir).withColumn(CONTENT, F.concat(F.col(CONTENT), F.lit(" đẹppppp quááá!!!!! gooood .....")))
     return plain(normalize.normalize_repeated_characters(rows), row=ROW, content=CONTENT)
@@ -200,11 +210,11 @@ _EMOJI = {"😍": ("rất_thích", "pos"), "👍": ("ưng_ý", "pos"), "😡": (
 
 
 @query(
-    "SELECT doc_id AS row, CASE doc_id % 3 WHEN 0 THEN source || ' rất_thích ưng_ý x' WHEN 1 THEN source || ' tức_giận x' ELSE source || ' x' END AS content, CASE doc_id % 3 WHEN 0 THEN '😍😍👍' WHEN 1 THEN '😡' ELSE '🚀' END AS emojis, CASE doc_id % 3 WHEN 0 THEN 'pos' WHEN 1 THEN 'neg' END AS sentiment FROM documents"
+    "SELECT doc_id AS row, CASE doc_id % 3 WHEN 0 THEN text || ' rất_thích ưng_ý x' WHEN 1 THEN text || ' tức_giận x' ELSE text || ' x' END AS content, CASE doc_id % 3 WHEN 0 THEN '😍😍👍' WHEN 1 THEN '😡' ELSE '🚀' END AS emojis, CASE doc_id % 3 WHEN 0 THEN 'pos' WHEN 1 THEN 'neg' END AS sentiment FROM documents"
 )
 def inline_emoji(spark, sf_dir):
     run = F.when(F.col(ROW) % 3 == 0, "😍😍👍").when(F.col(ROW) % 3 == 1, "😡").otherwise("🚀")
-    rows = reviews(spark, sf_dir).withColumn(CONTENT, F.concat(F.col(AUTHOR), run, F.lit("x")))
+    rows = reviews(spark, sf_dir).withColumn(CONTENT, F.concat(F.col(CONTENT), run, F.lit("x")))
     return plain(normalize.handle_inline_emoji(rows, _EMOJI), row=ROW, content=CONTENT, emojis=EMOJIS, sentiment=EMOJI_SENTIMENT)
 
 
@@ -239,13 +249,109 @@ def spelling_corrections(spark, sf_dir):
     return plain(lexical.split_spelling_errors(rows, _LEXICON).suspect, row=ROW, content=CORRECTED)
 
 
-@query()
+def _with_ko(spark, sf_dir) -> DataFrame:
+    return reviews(spark, sf_dir).withColumns({CONTENT: F.concat_ws(" ", F.lit("Ko tốt"), F.col(CONTENT)), "Size": F.concat(F.lit("ko "), F.col(AUTHOR))})
+
+
+@query("SELECT doc_id AS row, 'Không tốt ' || text AS content, 'ko -> không' AS replaced FROM documents")
 def vote_and_replace(spark, sf_dir):
-    rows = reviews(spark, sf_dir).withColumn(CONTENT, F.concat_ws(" ", F.lit("Ko tốt"), F.col(AUTHOR)))
+    """Of the suggestions for all non-standard tokens, only that for ``ko`` has two sources."""
+    rows = _with_ko(spark, sf_dir)
     found = lexical.suspect_rows(rows, lexical.nonstandard_tokens(lexical.token_stats(rows, _LEXICON), _LEXICON))
     return plain(lexical.apply_corrections(rows, found, _LEXICON), row=ROW, content=lexical.NORMALISED, replaced=lexical.REPLACED)
 
 
+@query("SELECT lang AS product, 'Size' AS criterion, 'ko ' || source AS value, count(*) AS n, 'không ' || source AS normal, 'ko -> không' AS replaced FROM documents GROUP BY lang, source")
+def criterion_values_corrected(spark, sf_dir):
+    rows = _with_ko(spark, sf_dir)
+    values = lexical.corrected_values(lexical.suspect_values(rows, lexical.nonstandard_tokens(lexical.token_stats(rows, _LEXICON), _LEXICON)))
+    return plain(values, product=PRODUCT, criterion="criterion", value="value", n="n", normal=lexical.NORMALISED, replaced=lexical.REPLACED)
+
+
+@query("SELECT doc_id AS row, 'không ' || source AS size FROM documents")
+def criterion_columns_normalised(spark, sf_dir):
+    rows = _with_ko(spark, sf_dir)
+    values = lexical.corrected_values(lexical.suspect_values(rows, lexical.nonstandard_tokens(lexical.token_stats(rows, _LEXICON), _LEXICON)))
+    return plain(lexical.apply_value_corrections(rows, values), row=ROW, size="Size (chuẩn hoá)")
+
+
+@query("SELECT 'ko -> không' AS change, count(*) AS n FROM documents UNION ALL SELECT 'ko -> không (tiêu chí)', count(DISTINCT (lang, source)) FROM documents")
+def change_counts(spark, sf_dir):
+    rows = _with_ko(spark, sf_dir)
+    nonstandard = lexical.nonstandard_tokens(lexical.token_stats(rows, _LEXICON), _LEXICON)
+    values = lexical.corrected_values(lexical.suspect_values(rows, nonstandard))
+    return lexical.change_counts(lexical.apply_corrections(rows, lexical.suspect_rows(rows, nonstandard), _LEXICON), values)
+
+
+#: A list of odd tokens of known kinds, so that what follows from it can be said in SQL.
+_ODD = [("worthless", "a", "poor", ""), ("und", "b", "", "u"), ("the", "b", "", "")]
+_ODD_SQL = (
+    "WITH o AS (SELECT * FROM (VALUES ('worthless', 'a', 'worthless -> poor [a]', 'poor', 1), ('und', 'b', 'und [b]', 'u', 1), ('the', 'b', 'the [b]', '', 0)) x(token, kind, detail, best, votes)), "
+    r"t AS (SELECT doc_id, lang, unnest(w) AS token, unnest(range(len(w))) AS pos FROM (SELECT doc_id, lang, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents)), "
+    "h AS (SELECT doc_id, lang, token, min(pos) AS pos, count(*) AS n FROM t GROUP BY ALL), f AS (SELECT * FROM h JOIN o USING (token)) "
+)
+
+
+def _odd(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
+    rows = reviews(spark, sf_dir)
+    nonstandard = spark.createDataFrame(_ODD, "token string, kind string, suggestion string, norm string")
+    return rows, nonstandard, lexical.suspect_rows(rows, nonstandard)
+
+
+@query(_ODD_SQL + "SELECT doc_id AS row, doc_id + 2 AS source_row, string_agg(token, ', ' ORDER BY pos) AS tokens, string_agg(detail, '; ' ORDER BY pos) AS detail FROM f GROUP BY doc_id")
+def list_nonstandard(spark, sf_dir):
+    rows, nonstandard, _ = _odd(spark, sf_dir)
+    return plain(lexical.list_nonstandard(rows, nonstandard), row=ROW, source_row=SOURCE_ROW, tokens=lexical.SUSPECT_TOKENS, detail=lexical.TOKEN_DETAIL)
+
+
+@query(_ODD_SQL + "SELECT doc_id AS row, string_agg(CASE token WHEN 'worthless' THEN 'worthless -> poor [a] (1/1: luật=poor)' WHEN 'und' THEN 'und -> u [b] (1/1: ViLexNorm=u)' ELSE 'the [b]' END, ' | ' ORDER BY pos) AS detail FROM f GROUP BY doc_id")
+def annotated_suggestions(spark, sf_dir):
+    return plain(lexical.annotate_suggestions(_odd(spark, sf_dir)[2], Lexicon()), row=ROW, detail=lexical.TOKEN_DETAIL)
+
+
+@query(
+    _ODD_SQL + "SELECT token, any_value(kind) AS kind, any_value(best) AS consensus, any_value(votes)::INT AS votes, sum(n)::BIGINT AS occurrences, count(*) AS rows, (SELECT string_agg(l, ', ' ORDER BY l) FROM (SELECT DISTINCT lang AS l FROM f g WHERE g.token = f.token)) AS products FROM f GROUP BY token"
+)
+def frequency_table(spark, sf_dir):
+    rows, _, suspects = _odd(spark, sf_dir)
+    stats = lexical.TokenStats(lexical.token_counts(rows), {}, {})
+    table = lexical.frequency_table(suspects, stats, Lexicon())
+    return table.select("token", "kind", "consensus", F.col("votes").cast("int").alias("votes"), "occurrences", "rows", "products")
+
+
+@query(_ODD_SQL + "SELECT kind, count(DISTINCT token) AS tokens, count(*)::BIGINT AS rows FROM f GROUP BY kind")
+def kind_summary(spark, sf_dir):
+    rows, _, suspects = _odd(spark, sf_dir)
+    return lexical.kind_summary(lexical.frequency_table(suspects, lexical.TokenStats(lexical.token_counts(rows), {}, {}), Lexicon()))
+
+
+@query("SELECT doc_id AS row, source, lang AS product FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, text ORDER BY doc_id) AS k FROM documents) WHERE k > 1")
+def removed_rows(spark, sf_dir):
+    rows = reviews(spark, sf_dir)
+    return plain(coarse.removed_rows(rows, coarse.drop_exact_duplicates(rows), PRODUCT, ROW), row=ROW, source=AUTHOR, product=PRODUCT)
+
+
+@query(r"SELECT DISTINCT text AS before, regexp_replace(regexp_replace(text, '(^|[^\p{L}\p{N}])worthless($|[^\p{L}\p{N}])', '\1useless\2', 'g'), '(^|[^\p{L}\p{N}])Worthless($|[^\p{L}\p{N}])', '\1Useless\2', 'g') AS after FROM documents")
+def model_outputs(spark, sf_dir):
+    """Each distinct text once through a model, in batches."""
+    texts = reviews(spark, sf_dir).select(F.col(CONTENT).alias("in"))
+    return plain(context_models.run_model(texts, lambda: context_models.DictionaryModel({"worthless": "useless"})), before="in", after="out")
+
+
+@query(
+    r"WITH w AS (SELECT doc_id, regexp_extract_all(text, '[^\s\x0b\x{85}\p{Z}]+') AS w FROM documents), e AS (SELECT doc_id, len(w) AS n, unnest(w) AS x, unnest(range(len(w))) AS k FROM w), "
+    r"h AS (SELECT * FROM e WHERE regexp_matches(lower(x), '(^|[^\p{L}\p{N}])worthless($|[^\p{L}\p{N}])')), "
+    "c AS (SELECT DISTINCT doc_id, unnest(range(greatest(k - 5, 0), least(k + 6, n))) AS k FROM h), "
+    "r AS (SELECT *, k - row_number() OVER (PARTITION BY doc_id ORDER BY k) AS g FROM c) "
+    "SELECT doc_id AS row, count(DISTINCT g) AS windows, count(*) AS words FROM r GROUP BY doc_id"
+)
+def model_windows(spark, sf_dir):
+    suspects = _odd(spark, sf_dir)[2]
+    found = context_models.windows(suspects, F.filter("tokens", lambda t: t["token"] == "worthless"))
+    words = F.aggregate("windows", F.lit(0).cast("long"), lambda n, w: n + X.word_count(w))
+    return found.select(F.col(ROW).alias("row"), F.size("windows").cast("long").alias("windows"), words.alias("words"))
+
+
 @query()
 def near_duplicates_by_author(spark, sf_dir):
     """Over all products at once, by author, as the product rule does within one."""
@@ -255,7 +361,9 @@ def near_duplicates_by_author(spark, sf_dir):
 
 @query()
 def near_duplicates_across_products(spark, sf_dir):
-    return plain(neardup.split_cross_file_near_duplicates(normalize.add_text_norm(reviews(spark, sf_dir))).suspect, row=ROW, product=PRODUCT)
+    """Products are dealt by id, as texts of different languages do not resemble each other."""
+    rows = reviews(spark, sf_dir).withColumns({PRODUCT: F.concat(F.lit("p"), F.col(ROW) % 3), PRODUCT_ORD: (F.col(ROW) % 3).cast("int")})
+    return plain(neardup.split_cross_file_near_duplicates(normalize.add_text_norm(rows)).suspect, row=ROW, product=PRODUCT)
 
 
 @query(
@@ -312,9 +420,12 @@ def scalar_functions(spark, sf_dir):
     return reviews(spark, sf_dir).select(F.col(ROW).alias("row"), X.strip_accents(c).alias("plain"), X.has_vowel(c).alias("vowel"), X.word_count(c).alias("words"))
 
 
-@query("SELECT doc_id AS row, text AS joined FROM documents")
+@query(
+    r"WITH p AS (SELECT doc_id, [{'c': [x], 'w': len(regexp_extract_all(x, '[^\s\x0b\x{85}\p{Z}]+'))} for x in regexp_extract_all(text, '(?s).*?(?:[.!?][\s\x0b\x{85}\p{Z}]+|\n+)|(?s).+')] AS l FROM documents) "
+    "SELECT doc_id AS row, array_to_string(CASE WHEN len(l) = 0 THEN [] ELSE list_reduce(l, lambda x, y: CASE WHEN x.w + y.w <= 50 THEN {'c': list_append(x.c[:-2], x.c[-1] || y.c[1]), 'w': x.w + y.w} ELSE {'c': list_concat(x.c, y.c), 'w': y.w} END).c END, chr(31)) AS chunks FROM p"
+)
 def split_chunks(spark, sf_dir):
-    return reviews(spark, sf_dir).select(F.col(ROW).alias("row"), F.array_join(batched.split_chunks(F.col(CONTENT)), "").alias("joined"))
+    return reviews(spark, sf_dir).select(F.col(ROW).alias("row"), F.array_join(batched.split_chunks(F.col(CONTENT)), "\x1f").alias("chunks"))
 
 
 @query("SELECT 'Size' AS criterion, source AS value, lang AS product, count(*) AS n FROM documents GROUP BY ALL")
@@ -323,8 +434,10 @@ def criteria_value_counts(spark, sf_dir):
     return lexical.criteria_values(rows).select("criterion", "value", F.col(PRODUCT).alias("product"), "n")
 
 
-@query("SELECT count(*) AS rows, count(*) FILTER (WHERE doc_id % 9 = 0) AS empty FROM documents")
-def final_check_counts(spark, sf_dir):
-    rows = reviews(spark, sf_dir).withColumn(CONTENT, F.when(F.col(ROW) % 9 != 0, F.col(CONTENT)))
-    out = normalize.strip_extra_whitespace(rows)
-    return out.agg(F.count(F.lit(1)).alias("rows"), F.count(F.when(F.col(CONTENT).isNull(), 1)).alias("empty"))
+_SQUEEZED = r"nullif(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace({0}, '\r\n?', chr(10), 'g'), '[ \t\x0b\f\x{{85}}\p{{Z}}]+', ' ', 'g'), ' ?\n ?', chr(10), 'g'), '\n{{2,}}', chr(10), 'g'), chr(10) || ' '), '')"
+
+
+@query(f"SELECT doc_id AS row, CASE WHEN doc_id % 9 <> 0 THEN {_SQUEEZED.format('text')} END AS content, CASE WHEN doc_id % 9 <> 0 THEN lower({_SQUEEZED.format('text')}) END AS text_norm FROM documents")
+def final_check(spark, sf_dir):
+    rows = reviews(spark, sf_dir).withColumns({CONTENT: F.when(F.col(ROW) % 9 != 0, F.concat(F.lit(" \n"), F.col(CONTENT))), CRITERIA: F.when(F.col(ROW) % 9 == 0, "a: b")})
+    return plain(coarse.final_check(rows, rows.count()), row=ROW, content=CONTENT, text_norm=TEXT_NORM)

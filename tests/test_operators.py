@@ -270,3 +270,39 @@ def test_criterion_values(spark):
     assert out.columns[-1] == "Size (chuẩn hoá)"
     assert contents(out, "Size (chuẩn hoá)") == ["hàng tốt", "hàng tốt", "không tốt, hang đẹp và nhanh", None]
     assert [tuple(r) for r in lexical.change_counts(values).collect()] == [("hang -> hàng (tiêu chí)", 1), ("ko -> không (tiêu chí)", 1)]
+
+
+def test_near_duplicates_of_real_texts_by_brute_force(spark):
+    """Short variations of a few sentences in two products, against all pairs."""
+    import difflib
+    import random
+
+    rng = random.Random(2)
+    words = "hàng đẹp giao nhanh lắm shop gói kỹ sẽ mua lại pin trâu máy mượt".split()
+    rows = []
+    for _ in range(30):
+        base = [rng.choice(words) for _ in range(rng.randint(6, 12))]
+        for _ in range(3):
+            w = list(base)
+            if rng.random() < 0.7:
+                w[rng.randrange(len(w))] = rng.choice(words)
+            rows.append((rng.choice("abc"), " ".join(w).capitalize()))
+    a, b = table(spark, rows[::2], [AUTHOR, CONTENT], "a"), table(spark, rows[1::2], [AUTHOR, CONTENT], "b", 1)
+    flat = [("a", k, who, t.lower()) for k, (who, t) in enumerate(rows[::2])] + [("b", k, who, t.lower()) for k, (who, t) in enumerate(rows[1::2])]
+
+    def suspects(group, scope):
+        first = {}
+        for r in flat:
+            first.setdefault((scope(r), r[3]), len(first))
+
+        def similar(r, s):  # the shorter one first, of equals the one seen first
+            x, y = sorted((r, s), key=lambda q: (len(q[3]), first[scope(q), q[3]]))
+            return difflib.SequenceMatcher(None, x[3], y[3]).ratio() >= 0.9
+
+        return {x[:2] for i, r in enumerate(flat) for s in flat[i + 1 :] if scope(r) == scope(s) and group(r) != group(s) and similar(r, s) for x in (r, s)}
+
+    within, across = suspects(lambda r: r[2], lambda r: r[0]), suspects(lambda r: r[0], lambda r: "")
+    assert within and across
+    both = a.union(b)
+    assert {tuple(r) for r in neardup.split_near_duplicates(both).suspect.select(PRODUCT, ROW).collect()} == within
+    assert {tuple(r) for r in neardup.split_cross_file_near_duplicates(both).suspect.select(PRODUCT, ROW).collect()} == across

@@ -88,6 +88,27 @@ def test_all_stages(spark, tmp_path):
     stages.main(["coverage-report"])
 
 
+def test_lexical_stage_by_the_command_line(spark, tmp_path):
+    rows = [("p", 0, k, t, "ko êm") for k, t in enumerate(["Ko tốt lắm shop ơi", "hàng tốt", "ok"])]
+    df = spark.createDataFrame(rows, f"{PRODUCT} string, {PRODUCT_ORD} int, {ROW} long, `{CONTENT}` string, Size string")
+    tables.write_checkpoint(df, str(tmp_path / "out"), "v4_char_cleaned", "all")
+    (tmp_path / "lexicon").mkdir()
+    (tmp_path / "lexicon/abbreviations.tsv").write_text("k\tv\tc\tf\nko\tkhông\t1\t1\n")
+    (tmp_path / "lexicon/norms.csv").write_text('input,output\n"[\'ko\']","[\'không\']"\n')
+    checked = spark.createDataFrame([("p", 4, "ổn nha bạn ơi")], f"`{PRODUCT_NAME}` string, `Dòng Excel gốc` long, `{CONTENT}` string")
+    checked.write.parquet(str(tmp_path / "short.parquet"))
+    common = ["--root", str(tmp_path), "--out", str(tmp_path / "out"), "--products", "p=none", "--lexicon", str(tmp_path / "lexicon")]
+    stages.main(["run-step", "5", *common, "--most-short-words", "1", "--checked", f"short={tmp_path / 'short.parquet'}"])
+    stages.main(["run-step", "6", *common])
+    out = tables.read_checkpoint(spark, str(tmp_path / "out"), "v6_lexical", "all")
+    got = {r[ROW]: (r[CONTENT], r["Nội dung chuẩn hoá"], r["Size (chuẩn hoá)"]) for r in out.collect()}
+    assert got[0] == ("Ko tốt lắm shop ơi", "Không tốt lắm shop ơi", "không êm")
+    assert got[2][0] == "ổn nha bạn ơi"
+    changes = spark.read.parquet(str(tmp_path / "out/suspect/v6_lexical_changes"))
+    assert {tuple(r) for r in changes.collect()} == {("ko -> không", 1), ("ko -> không (tiêu chí)", 1)}
+    assert spark.read.parquet(str(tmp_path / "out/suspect/v6_lexical_token_frequencies")).count() > 0
+
+
 def test_registry_and_report(spark, tmp_path):
     r = registry.StepRegistry()
 
