@@ -111,6 +111,49 @@ def test_round_trip_of_any_text(texts):
     assert [bytes(raw[at[k] : at[k + 1]]).decode() for k in range(len(texts))] == texts
 
 
+def brute_dropout(library, text, doc_key, seed, dropout):
+    """Merges the best pair that the keyed hash lets pass, looking at all pairs every time."""
+    full = (1 << 64) - 1
+    k2, k3, k4 = (int(x) for x in (spdropout._K2, spdropout._K3, spdropout._K4))
+
+    def mix(x):
+        return int(spdropout.A.mix(np.array([x & full], np.uint64))[0])
+
+    out = []
+    for place, chunk in enumerate(spdropout._CHUNK.findall(" " + text) if text else []):
+        key = mix(mix(doc_key + place * k2) ^ mix(seed))
+        marked = ["▁" if c == " " else "" if c == "▁" else c for c in chunk]
+        parts = [(k, k + 1) for k in range(len(chunk))]
+        while True:
+            best = None
+            for n, ((a, b), (_, c)) in enumerate(zip(parts, parts[1:])):
+                piece = "".join(marked[a:c]) if all(marked[a:c]) else None
+                if piece is None or library.id_to_piece(library.piece_to_id(piece)) != piece or library.is_byte(library.piece_to_id(piece)):
+                    continue
+                if mix(key + a * k2 + b * k3 + c * k4) < int(dropout * 2.0**64):
+                    continue
+                rank = (-library.get_score(library.piece_to_id(piece)), library.piece_to_id(piece), n)
+                best = min(best, (rank, n)) if best else (rank, n)
+            if best is None:
+                break
+            n = best[1]
+            parts[n : n + 2] = [(parts[n][0], parts[n + 1][1])]
+        for a, b in parts:
+            piece = "".join(marked[a:b])
+            known = piece and library.id_to_piece(library.piece_to_id(piece)) == piece
+            out += [library.piece_to_id(piece)] if known else [library.piece_to_id(f"<0x{x:02X}>") for x in chunk[a:b].encode()]
+    return out
+
+
+def test_dropout_matches_brute_force():
+    library = sentencepiece.SentencePieceProcessor(model_file=spdropout.MODEL_PATH)
+    rng = random.Random(4)
+    texts = [*TEXTS[:6], TEXTS[8], TEXTS[10], "the the the the wonder wonder", " ".join(rng.choice("international under standing the a of wörld 12".split()) for _ in range(60)), "x" * 80 + " and more"]
+    e = encoder(0.3)
+    for _ in range(3):  # remembered nodes must give the same
+        assert pieces(e, texts)[0] == [brute_dropout(library, t, k, 13, 0.3) for k, t in enumerate(texts)]
+
+
 def test_dropout_is_keyed_and_varied():
     texts = ["the conversation about international understanding " * 20]
     a, b = pieces(encoder(0.3), texts)[0], pieces(encoder(0.3), texts)[0]

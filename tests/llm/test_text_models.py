@@ -223,3 +223,36 @@ def test_repeated_rows_of_a_language_count_as_often_as_they_occur(spark):
     assert np.allclose(np.exp(model.prior), [0.5, 0.5])
     got = langid.identify(docs, model).select("doc_id", "lang_pred").collect()
     assert sorted((tuple(r) for r in got), key=str) == sorted([(1, "x"), (1, "x"), (2, "y"), (None, "y"), (3, "und")], key=str)
+
+
+def brute_features(text, bits):
+    """Word 1- and 2-grams, the same of word shapes, and a mark for each word of a repeated 5-word window, one at a time."""
+
+    def hashed(raw):
+        return int(A.span_hash(np.frombuffer(raw, np.uint8), np.array([0]), np.array([len(raw)]))[0])
+
+    def mix(x):
+        return int(A.mix(np.array([x % 2**64], np.uint64))[0])
+
+    words = [w.encode() for w in WORD.findall(text or "")]
+    out = []
+    for salt, units in ((11, [hashed(w.lower()) for w in words]), (23, [hashed(re.sub(rb"(.)\1+", rb"\1", bytes(A.SHAPE[np.frombuffer(w, np.uint8)]), flags=re.S)) for w in words])):
+        out += [mix(u + salt) for u in units]
+        out += [mix(a * 0x9FB21C651E98DF25 + b + salt + 1) for a, b in zip(units, units[1:])]
+    low = [w.lower() for w in words]
+    windows = Counter(tuple(low[k : k + 5]) for k in range(len(low) - 4))
+    marked = {k + j for k in range(len(low) - 4) if windows[tuple(low[k : k + 5])] > 1 for j in range(5)}
+    return [x >> (64 - bits) for x in out + [mix(37)] * len(marked)]
+
+
+def test_quality_scores_match_brute_force(spark):
+    texts = [*AWKWARD, "Aa bb CC 12 aA", "one two three four five six one two three four five", "x" * 700 + " y" * 600, "tie tie", "tie tie"]
+    rng = np.random.default_rng(3)
+    model = linear.Linear(rng.normal(size=1 << 10).astype(np.float32), -0.25)
+    docs = spark.createDataFrame(list(enumerate(texts)), DOCS)
+    got = {r.doc_id: r.quality_score for r in quality_lr.score(docs, model).collect()}
+    for k, t in enumerate(texts):
+        f = brute_features(t, 10)
+        z = model.bias + sum(float(model.weights[i]) for i in f) / np.sqrt(max(len(f), 1))
+        assert abs(got[k] - 1 / (1 + np.exp(-z))) < 1e-6, t[:30] if t else t
+    assert got[len(texts) - 1] == got[len(texts) - 2]
