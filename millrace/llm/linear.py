@@ -60,11 +60,21 @@ def training_rows(docs: DataFrame, ids: DataFrame, bits: int, **features) -> lis
 
     joined = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select(F.col("doc_id").cast("string").alias("doc_id"), "text", F.col("y").cast("int").alias("y"))
     got = arrow_map(joined, rows, "doc_id string, y int, index binary, value binary").toArrow()
-    out = [(k, np.frombuffer(i, np.int32), np.frombuffer(v, np.float32), y) for k, y, i, v in zip(*(got.column(c).to_pylist() for c in ("doc_id", "y", "index", "value")), strict=True)]
+    views = [_views(got.column(c), t) for c, t in (("index", np.int32), ("value", np.float32))]
+    out = list(zip(got.column("doc_id").to_pylist(), *views, got.column("y").to_pylist(), strict=True))
     out.sort(key=lambda r: (r[0], len(r[1])))
     return [r[1:] for r in out]
 
 
+def _views(column: pa.ChunkedArray, dtype: type) -> list[np.ndarray]:
+    """The binary values of a column as arrays over its own buffers, without a copy."""
+    out = []
+    for chunk in column.chunks:
+        data, off = A.column_bytes(chunk)
+        out += [data[a:b].view(dtype) for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)]
+    return out
+
+
 def fit_ftrl(rows: list[tuple[np.ndarray, np.ndarray, float]], size: int, *, epochs: int = 3, alpha: float = 0.5, beta: float = 1.0, l1: float = 0.02, l2: float = 0.5) -> Linear:
     """Logistic regression by per-coordinate FTRL-proximal updates, one row at a time.
 

@@ -59,8 +59,9 @@ def stored(df: DataFrame) -> DataFrame:
 
 
 def release(spark: SparkSession) -> None:
-    """Lets Spark's cleaner drop the shuffle files of finished steps."""
+    """Lets Spark's cleaner drop the shuffle files of finished steps, and gives the driver's free memory back."""
     gc.collect()
+    pa.default_memory_pool().release_unused()
     spark.sparkContext._jvm.System.gc()
 
 
