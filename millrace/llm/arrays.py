@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 1 << 19
+BLOCK_BYTES = 1 << 18
 U64 = np.uint64
 
 #: Bytes that end a word: space and \t \n \v \f \r.
