@@ -105,6 +105,12 @@ class Vocabulary:
         known = [c for c in self.symbol if len(c) == 1 and c != MARK]
         self.char = {c: self.symbol[c] for c in known} | {" ": self.symbol.get(MARK, -1)}
         self.char.pop(MARK, None)
+        self.code = np.full(max(map(ord, self.char)) + 2, -1, np.int32)  # by code point; the last place stands for all others
+        self.code[[ord(c) for c in self.char]] = list(self.char.values())
+
+    def symbols_of(self, text: str) -> np.ndarray:
+        """The symbols of a text's characters, -1 for unknown ones."""
+        return self.code[np.minimum(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32), len(self.code) - 1)]
 
     def _slot(self, key: np.ndarray) -> np.ndarray:
         return ((key.astype(np.uint64) * _K1) >> np.uint64(40)).astype(np.int64) & self.mask
@@ -181,52 +187,68 @@ def _agenda_rows(v: Vocabulary, ids: np.ndarray, length: np.ndarray, key: np.nda
     and ``met`` takes the codes of all candidates.
     """
     rows, width = ids.shape
-    ids, count = ids.copy(), length.copy()
-    begin = np.minimum(np.arange(width + 1)[None, :], length[:, None]).astype(np.int32)
-
-    def candidates(r: np.ndarray, k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        merged, rank = v.merge(ids[r, k], ids[r, k + 1])
-        if skips is not None:
-            some = np.flatnonzero(rank != _NONE)
-            rows_, k_ = r[some], k[some]
-            code = rows_ << 21 | begin[rows_, k_].astype(np.int64) << 14 | begin[rows_, k_ + 1] << 7 | begin[rows_, k_ + 2]
-            met.append(code)
-            rank[some[_among(code, skips)]] = _NONE
-        elif below:
-            rank = np.where(_skipped(key[r], begin[r, k], begin[r, k + 1], begin[r, k + 2], below), _NONE, rank)
-        return merged, rank
-
     if width < 2:
-        return ids, begin, count
-    rank = np.full((rows, width), _NONE, np.int32)
-    merged = np.zeros((rows, width), np.int32)
-    r, k = np.nonzero(np.arange(width - 1)[None, :] < (length - 1)[:, None])
-    merged[r, k], rank[r, k] = candidates(r, k)
+        return ids.copy(), np.zeros((rows, width), np.int32), length.copy()
+    column = np.arange(width, dtype=np.int32)
+    before = np.tile(column - np.int32(1), rows)
+    after = np.tile(column + np.int32(1), rows)  # where the next symbol starts, hence this one's end
+    sym, stays = ids.ravel().copy(), (column[None, :] < length[:, None]).ravel()
+    table, merged = np.full((rows, width), _NONE, np.int32), np.zeros(rows * width, np.int32)
+    rank = table.ravel()  # a view
+
+    def candidates(r: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
+        """Notes what the symbols at places i and j of the rows r, neighbours, merge to."""
+        new, order = v.merge(sym[i], sym[j])
+        some = np.flatnonzero(order != _NONE)
+        if len(some) and (skips is not None or below):
+            row, base = r[some], r[some] * width
+            start, middle, end = i[some] - base, j[some] - base, after[j[some]]
+            if skips is not None:
+                code = row << 21 | start << 14 | middle << 7 | end
+                met.append(code)
+                order[some[_among(code, skips)]] = _NONE
+            else:
+                order[some[_skipped(key[row], start, middle, end, below)]] = _NONE
+        merged[i], rank[i] = new, order
+
+    r, k = np.nonzero(column[None, :] < (length - 1)[:, None])
+    candidates(r, r * width + k, r * width + k + 1)
     live = np.arange(rows)
-    column = np.arange(width)
     while len(live):
-        k = rank[live].argmin(1)
-        more = rank[live, k] != _NONE
-        live, k = live[more], k[more]
+        i = live * width + table[live].argmin(1)
+        more = rank[i] != _NONE
+        live, i = live[more], i[more]
         if not len(live):
             break
-        take = np.minimum(column[None, :] + (column[None, :] > k[:, None]), width - 1)
-        new = merged[live, k]
-        for table, empty in ((ids, -1), (rank, _NONE), (merged, 0)):
-            moved = np.take_along_axis(table[live], take, 1)
-            moved[:, -1] = empty
-            table[live] = moved
-        moved = begin[live]
-        moved[:, :-1] = np.where(column[None, :] > k[:, None], moved[:, 1:], moved[:, :-1])
-        begin[live] = moved
-        ids[live, k] = new
-        count[live] -= 1
-        for at in (k - 1, k):
-            ok = (at >= 0) & (at < count[live] - 1)
-            rank[live[~ok & (at >= 0)], at[~ok & (at >= 0)]] = _NONE
-            rr, kk = live[ok], at[ok]
-            merged[rr, kk], rank[rr, kk] = candidates(rr, kk)
-    return ids, begin, count
+        base = live * width
+        j = base + after[i]
+        end = after[j]
+        sym[i], after[i], rank[i], rank[j], stays[j] = merged[i], end, _NONE, _NONE, False
+        right = np.flatnonzero(end < length[live])
+        after_i = base[right] + end[right]
+        before[after_i] = i[right] - base[right]
+        left = np.flatnonzero(before[i] >= 0)
+        before_i = base[left] + before[i[left]]
+        candidates(np.concatenate([live[left], live[right]]), np.concatenate([before_i, i[right]]), np.concatenate([i[left], after_i]))
+    stays = stays.reshape(rows, width)
+    count = stays.sum(1)
+    packed = column[None, :] < count[:, None]
+    out, begin = np.full((rows, width), -1, np.int32), np.zeros((rows, width), np.int32)
+    out[packed] = sym.reshape(rows, width)[stays]
+    begin[packed] = np.broadcast_to(column, (rows, width))[stays]
+    return out, begin, count
+
+
+class _Numbers(dict):
+    """Numbers chunks in the order in which they are first asked for, and lists them."""
+
+    def __init__(self):
+        self.order: list[str] = []
+
+    def __missing__(self, chunk: str) -> int:
+        self.order.append(chunk)
+        number = self[chunk] = len(self)
+        return number
 
 
 class Encoder:
@@ -238,8 +260,8 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.index: dict[str, int] = {}
-        self.chunks: list[str] = []
+        self.index = _Numbers()
+        self.chunks = self.index.order
         none = np.zeros(0, np.int64)
         self.symbols, self.first, self.size = np.zeros(0, np.int32), none, none  # of each chunk
         self.root = none
@@ -364,18 +386,13 @@ class Encoder:
         for t in texts:
             found = _CHUNK.findall(" " + t) if t else []
             counts.append(len(found))
-            for c in found:
-                k = index.get(c)
-                if k is None:
-                    k = index[c] = len(index)
-                    self.chunks.append(c)
-                got.append(k)
+            got.extend(map(index.__getitem__, found))
         if len(self.chunks) > known:
-            fresh, get = self.chunks[known:], self.v.char.get
+            fresh = self.chunks[known:]
             size = np.array([len(c) for c in fresh], np.int64)
             self.first = np.concatenate([self.first, len(self.symbols) + np.cumsum(size) - size])
             self.size = np.concatenate([self.size, size])
-            self.symbols = np.concatenate([self.symbols, np.array([get(x, -1) for c in fresh for x in c], np.int32)])
+            self.symbols = np.concatenate([self.symbols, self.v.symbols_of("".join(fresh))])
             self.root = np.concatenate([self.root, np.full(len(fresh), _NEW)])
         counts_ = np.array(counts, np.int64)
         ordinal = A.ranges(np.zeros(len(texts), np.int64), counts_)

@@ -198,6 +198,20 @@ def test_every_occurrence_has_its_own_draw():
     assert abs(ids.count(whole) - int((rows[:, 0] == whole).sum())) < 400
 
 
+def test_agenda_looks_up_both_sides_of_a_merge_at_once(monkeypatch):
+    """A turn of the agenda costs one lookup for all rows, not one for each side."""
+    v = encoder(0.1).v
+    turns, merge = [], v.merge
+    monkeypatch.setattr(v, "merge", lambda a, b: turns.append(len(a)) or merge(a, b))
+    symbols = v.symbols_of(" international")
+    assert symbols.tolist() == [v.char[c] for c in " international"]
+    assert v.symbols_of("\U0010ffff\ud800").tolist() == [-1, -1]
+    rows, begin, count = spdropout._agenda_rows(v, np.tile(symbols, (3, 1)), np.full(3, len(symbols)), np.zeros(3, np.uint64), 0)
+    assert len(turns) == 1 + len(symbols) - count[0]
+    ids, starts = spdropout._agenda(v, symbols.tolist(), 0, 0)
+    assert rows[0, : count[0]].tolist() == ids and begin[0, : count[0]].tolist() == starts
+
+
 def test_remembered_agendas_are_each_occurrences_own(monkeypatch):
     rng = random.Random(2)
     words = ["the", "international", "understanding", "né", "日本語テキ", "a" * 50, "ab" * 40, "x▁y", "12345"]
