@@ -263,7 +263,7 @@ Shingles = Callable[[list[str]], list[np.ndarray]]
 
 
 def _shingle_hashes(bodies: list[str]) -> list[np.ndarray]:
-    """64-bit hashes of each line's shingles, with repeats; two different shingles of a pair share one with probability below 1e-12."""
+    """64-bit hashes of each line's shingles, with repeats."""
     prefix, start, end, _, _ = lines_of(bodies)
     count = np.maximum(end - start - SHINGLE + 1, 0)
     h = A.mix((prefix[SHINGLE:] - prefix[:-SHINGLE]) * A.powers(len(prefix) - SHINGLE, True)) if len(prefix) > SHINGLE else np.zeros(0, np.uint64)
@@ -271,6 +271,30 @@ def _shingle_hashes(bodies: list[str]) -> list[np.ndarray]:
     return [h[s : s + c] if c else whole[k : k + 1] for k, (s, c) in enumerate(zip(start.tolist(), count.tolist(), strict=True))]
 
 
+def similar(left: list[np.ndarray], right: list[np.ndarray], of: np.ndarray) -> np.ndarray:
+    """Whether each of up to 128 lists of shingle hashes reaches the similarity with its right one (number ``of``), all pairs at once.
+
+    A shingle is told by 57 bits of its hash beside the pair's number: two different ones of a pair of 300 are taken as one with probability 1e-12.
+    """
+
+    def distinct(lists: list[np.ndarray]) -> np.ndarray:
+        pair = np.repeat(np.arange(len(lists), dtype=np.uint64) << np.uint64(57), [len(x) for x in lists])
+        return sorted_set(np.concatenate(lists) >> np.uint64(7) | pair)
+
+    def sorted_set(key: np.ndarray) -> np.ndarray:
+        key.sort()
+        return key[np.append(True, key[1:] != key[:-1])]
+
+    def count(key: np.ndarray) -> np.ndarray:
+        return np.bincount((key >> np.uint64(57)).astype(np.int64), minlength=len(left))
+
+    a, b = distinct(left), distinct([right[k] for k in of.tolist()])
+    both = np.concatenate([a, b])
+    both.sort()
+    common = count(both[1:][both[1:] == both[:-1]])
+    return common >= SIMILARITY * (count(a) + count(b) - common)
+
+
 def verified(pairs: DataFrame, lines: DataFrame, shingles: Shingles = _shingle_hashes) -> DataFrame:
     """(a, b, same): whether the exact similarity of each pair of nodes reaches the threshold."""
 
@@ -281,24 +305,25 @@ def verified(pairs: DataFrame, lines: DataFrame, shingles: Shingles = _shingle_h
                 part = batch.slice(first, 100)
                 other = part.column(1).to_numpy()
                 new = np.append(True, other[1:] != other[:-1])  # pairs come in order of b: each b is hashed once in a run
-                found = iter(shingles(part.column(2).to_pylist() + part.column(3).filter(pa.array(new)).to_pylist()))
-                left = [set(next(found).tolist()) for _ in range(len(other))]
-                for mine, fresh_one in zip(left, new.tolist(), strict=True):
-                    if fresh_one:
-                        held = set(next(found).tolist())
-                    common = len(mine & held)
-                    same.append(common >= SIMILARITY * (len(mine) + len(held) - common))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(same, pa.bool_())], ["a", "b", "same"])
+                found = shingles(part.column(2).to_pylist() + part.column(3).filter(pa.array(new)).to_pylist())
+                same.append(similar(found[: len(other)], found[len(other) :], np.cumsum(new) - 1))
+            if same:
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.concatenate(same))], ["a", "b", "same"])
 
     first = lines.select(F.col("node").alias("a"), F.col("body").alias("x"))
     second = lines.select(F.col("node").alias("b"), F.col("body").alias("y"))
     return pairs.join(first, "a").join(second, "b").select("a", "b", "x", "y").mapInArrow(rows, "a long, b long, same boolean")
 
 
-def _bodies(keyed: DataFrame, every: DataFrame, nodes: DataFrame) -> DataFrame:
+def once(bodies: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Stored rows, one of each of the distinct nodes; only repeated rows of the input give more than one, and only then are bodies dealt out to find them."""
+    out = stored(bodies)
+    return out if out.count() == nodes.count() else stored(out.dropDuplicates(["node"]))
+
+
+def _bodies(keyed: DataFrame, per_node: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, twin, body) of the wanted nodes, from one occurrence of each."""
-    least = [F.min_by(c, "k1").alias(c) for c in ("twin", "k2", "line")]  # all of the same row, as they are compared alike
-    place = every.groupBy("node").agg(F.min("k1").alias("k1"), *least).join(nodes, "node")
+    place = per_node.join(nodes, "node")
     place = place.groupBy("k1", "k2").agg(F.collect_list(F.struct("node", "twin", "line")).alias("wanted"))  # at most the row's lines
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -312,14 +337,14 @@ def _bodies(keyed: DataFrame, every: DataFrame, nodes: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(twin, pa.int64()), pa.array(body, pa.string())], ["node", "twin", "body"])
 
     found = keyed.select("k1", "k2", "text").join(place, ["k1", "k2"]).select("text", "wanted").mapInArrow(rows, "node long, twin long, body string")
-    return stored(found).dropDuplicates(["node"])
+    return once(found, nodes)
 
 
-def components(keyed: DataFrame, every: DataFrame) -> DataFrame:
+def components(keyed: DataFrame, per_node: DataFrame) -> DataFrame:
     """(node, twin, root) of all lines that have a near-duplicate."""
     with batches_of(keyed.sparkSession, 16):
         edges = stored(candidates(keyed))
-    found, lines = linked(edges, lambda nodes: _bodies(keyed, every, nodes))
+    found, lines = linked(edges, lambda nodes: _bodies(keyed, per_node, nodes))
     return found.join(lines.select("node", "twin"), "node")
 
 
@@ -413,16 +438,18 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     prepare(docs.sparkSession)
     keyed = keyed_rows(docs)
     every = stored(occurrences(keyed))
-    found = components(keyed, every)
-    # each distinct line once, however common, before the groups: a component, or the line alone
+    # an occurrence of each node, and their number: plain minima, which need no sort
+    least = [F.min_by(c, "k1").alias(c) for c in ("twin", "k2", "line")]  # all of the same row, as they are compared alike
+    per_node = stored(every.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("k1").alias("k1"), *least))
+    found = components(keyed, per_node).select("node", F.col("twin").alias("linked"), "root")
+    # from here on only lines that occur again or have a near-duplicate
+    several = per_node.select("node", "n").join(found, "node", "left").where("root IS NOT NULL OR n > 1").select("node", "linked", "root")
+    near = F.col("root").isNotNull() & (F.col("twin") == F.col("linked"))  # else a line that shares the node of another
+    group = [F.coalesce(near, F.lit(False)).alias("near"), F.when(near, F.col("root")).otherwise(F.col("node")).alias("g1"), F.when(near, F.lit(0)).otherwise(F.col("twin")).alias("g2")]
+    again = stored(every.join(several, "node").select("k1", "k2", "doc_id", "line", *group))
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "k1", "k2", "line")
-    per_line = every.groupBy("node", "twin").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).join(found, ["node", "twin"], "left")
-    per_line = cut(per_line.where("root IS NOT NULL OR n > 1"))
-    alone = per_line.where("root IS NULL").select("node", "twin", "first")
-    several = per_line.where("root IS NOT NULL").select("node", "twin", "root", "first")
-    heads = several.groupBy("root").agg(F.min("first").alias("first"))
-    repeated = cut(alone.union(several.drop("first").join(heads, "root").select("node", "twin", "first")).select("node", "twin", F.col("first.k1").alias("f1"), F.col("first.k2").alias("f2"), F.col("first.line").alias("number")))
-    gone = every.select("node", "twin", "k1", "k2", "line").join(repeated, ["node", "twin"]).where("k1 <> f1 OR k2 <> f2 OR line <> number")
+    heads = again.groupBy("near", "g1", "g2").agg(F.min(place).alias("first")).select("near", "g1", "g2", F.col("first.k1").alias("f1"), F.col("first.k2").alias("f2"), F.col("first.line").alias("number"))
+    gone = again.drop("doc_id").join(heads, ["near", "g1", "g2"]).where("k1 <> f1 OR k2 <> f2 OR line <> number")
     return cut(gone.groupBy("k1", "k2").agg(F.sort_array(F.collect_set("line")).alias("lines")))
 
 

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import arrays as A
-from .line_dedup import candidates, keyed_rows, linked
+from .line_dedup import candidates, keyed_rows, linked, once
 from .runtime import arrow_map, batches_of, cut, fresh, prepare, row_key, stored
 
 WIDTH = 5
@@ -117,7 +117,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
     def bodies(nodes: DataFrame) -> DataFrame:
         place = every.groupBy("node").agg(F.min("k1").alias("k1"), F.min_by("k2", "k1").alias("k2")).join(nodes, "node")
-        return stored(keyed.select("k1", "k2", F.col("text").alias("body")).join(place, ["k1", "k2"]).select("node", "body")).dropDuplicates(["node"])
+        return once(keyed.select("k1", "k2", F.col("text").alias("body")).join(place, ["k1", "k2"]).select("node", "body"), nodes)
 
     found, _ = linked(edges, bodies, _text_hashes, BLOCK)
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "k1", "k2")

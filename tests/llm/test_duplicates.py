@@ -226,6 +226,26 @@ def test_line_dedup_of_repeated_rows_and_null_ids(spark):
     assert got == sorted([(1, "", 1), (1, "", 1), (None, "", 1), (0, "other\nsame line here", 0)], key=str)
 
 
+def test_similar_pairs_by_sorted_hashes_equal_sets():
+    rng = np.random.default_rng(8)
+    right = [rng.integers(0, 2**64, n, np.uint64) for n in (1, 4, 10, 40, 0, 300)]
+    of, left = rng.integers(0, len(right), 128), []
+    for k in of.tolist():
+        mine = rng.permutation(right[k])[: max(0, len(right[k]) - int(rng.integers(0, 4)))]
+        left.append(np.concatenate([mine, mine[:2], rng.integers(0, 2**64, int(rng.integers(0, 3)), np.uint64)]))
+    sets = [(set(x.tolist()), set(right[k].tolist())) for x, k in zip(left, of.tolist(), strict=True)]
+    want = [len(a & b) >= 0.8 * len(a | b) for a, b in sets]
+    assert line_dedup.similar(left, right, of).tolist() == want
+    assert 10 < sum(want) < 118
+
+
+def test_bodies_are_dealt_out_only_where_nodes_repeat(spark):
+    plain = spark.createDataFrame([(k, f"line {k}") for k in range(20)], "node long, body string")
+    line_dedup.prepare(spark)
+    assert "Exchange" not in line_dedup.once(plain, plain.select("node"))._jdf.queryExecution().toString()
+    assert sorted(tuple(r) for r in line_dedup.once(plain.union(plain), plain.select("node")).collect()) == sorted(tuple(r) for r in plain.collect())
+
+
 def thue_morse(n=1024):
     """A word and its complement, equal under any polynomial hash modulo 2**64 with an odd base."""
     a = "".join("ab"[bin(k).count("1") & 1] for k in range(n))
