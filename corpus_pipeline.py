@@ -24,7 +24,7 @@ def apply_line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def apply_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each component of near-duplicates: 5-word shingles, Jaccard similarity of 0.8."""
+    """Keeps one document of each component of near-duplicates: SimHash of 5-word shingles, MinHash beyond its radius, exact Jaccard similarity of 0.8."""
     return worddup.keep_one(docs)
 
 

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from . import arrays as A
 from .graph import connected
-from .runtime import batches_of, cut, fresh, prepare, row_key, stored
+from .runtime import batches_of, cut, fresh, give_back, prepare, row_key, stored
 
 SIMILARITY = 0.8
 SHINGLE = 7
@@ -202,6 +202,8 @@ def candidates(keyed: DataFrame, banded: Callable[[pa.Array], Iterator[tuple[np.
                 held, volume = [], 0
         if held:
             yield flush()
+        held = []
+        give_back()
 
     def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         heads: list[np.ndarray] = []
@@ -283,7 +285,7 @@ def similar(left: list[np.ndarray], right: list[np.ndarray], of: np.ndarray) ->
 
     def sorted_set(key: np.ndarray) -> np.ndarray:
         key.sort()
-        return key[np.append(True, key[1:] != key[:-1])]
+        return key[np.append(True, key[1:] != key[:-1])] if len(key) else key
 
     def count(key: np.ndarray) -> np.ndarray:
         return np.bincount((key >> np.uint64(57)).astype(np.int64), minlength=len(left))
@@ -309,6 +311,7 @@ def verified(pairs: DataFrame, lines: DataFrame, shingles: Shingles = _shingle_h
                 same.append(similar(found[: len(other)], found[len(other) :], np.cumsum(new) - 1))
             if same:
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.concatenate(same))], ["a", "b", "same"])
+        give_back()
 
     first = lines.select(F.col("node").alias("a"), F.col("body").alias("x"))
     second = lines.select(F.col("node").alias("b"), F.col("body").alias("y"))
@@ -428,6 +431,8 @@ def _across(members: DataFrame, shingles: Shingles = _shingle_hashes) -> DataFra
                 group.append(row[3:])
         if group:
             yield done()
+        group = []
+        give_back()
 
     source = members.select("key", "p", "q", "node", "root", "body").repartition("key", "p", "q").sortWithinPartitions("key", "p", "q")
     return source.mapInArrow(rows, "a long, b long")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import re
 import tempfile
@@ -65,6 +66,16 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def give_back() -> None:
+    """Gives the free memory of a worker, which the next stages use again, back to its host."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
+
+
 @contextmanager
 def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
     """Longer Arrow batches for actions on narrow rows."""
@@ -75,8 +86,8 @@ def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
         prepare(spark)
 
 
-def arrow_map(df: DataFrame, function: Callable[[pa.RecordBatch], dict], schema: str) -> DataFrame:
-    """``mapInArrow`` for a function from a batch to a dict of equally long columns."""
+def arrow_map(df: DataFrame, function: Callable[[pa.RecordBatch], dict], schema: str, after: Callable[[], None] = give_back) -> DataFrame:
+    """``mapInArrow`` for a function from a batch to a dict of equally long columns; ``after`` runs at the end of each task."""
     names = [x.split()[0] for x in re.split(r",\s*(?![^(<]*[)>])", schema)]  # commas inside types do not count
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -85,6 +96,9 @@ def arrow_map(df: DataFrame, function: Callable[[pa.RecordBatch], dict], schema:
                 out = function(batch)
                 if out is not None:
                     yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x) for x in (out[k] for k in names)], names)
+                del out
+            del batch
+        after()
 
     return df.mapInArrow(over, schema)
 

@@ -46,10 +46,9 @@ LEVELS = 3
 
 def fingerprints_of(data: np.ndarray, off: np.ndarray, width: int = WIDTH) -> np.ndarray:
     """64-bit fingerprints of the rows of a block."""
-    out = np.zeros(len(off) - 1, np.uint64)
     start, end = A.words(data, off)
     if not len(start):
-        return out
+        return np.zeros(len(off) - 1, np.uint64)
     bound = np.searchsorted(start, off)
     size = end - start + 1
     low = np.append(A.LOWER[data], np.uint8(32))[A.ranges(start, size)]
@@ -62,10 +61,17 @@ def fingerprints_of(data: np.ndarray, off: np.ndarray, width: int = WIDTH) -> np
     last = np.minimum(first + width - 1, np.repeat(bound[1:], shingles) - 1)
     text, digest = low.tobytes(), xxhash.xxh64_digest
     hashes = np.frombuffer(b"".join([digest(text[s:e], SEED) for s, e in zip(begin[first].tolist(), stop[last].tolist(), strict=True)]), np.uint8).reshape(-1, 8)
+    return majority(hashes, shingles)
+
+
+def majority(hashes: np.ndarray, shingles: np.ndarray) -> np.ndarray:
+    """The fingerprint of each row from its shingles' hashes (shingles x 8 bytes, highest first, one row after another); zero without shingles."""
+    out = np.zeros(len(shingles), np.uint64)
     some = np.flatnonzero(shingles)
-    at = (np.cumsum(shingles) - shingles)[some]
-    ones = np.add.reduceat(np.unpackbits(hashes, axis=1), at, axis=0, dtype=np.int32)
-    out[some] = np.packbits(2 * ones > shingles[some][:, None], axis=1).view(">u8").ravel()
+    if len(some):
+        at = (np.cumsum(shingles) - shingles)[some]
+        ones = np.add.reduceat(np.unpackbits(hashes, axis=1), at, axis=0, dtype=np.int32)
+        out[some] = np.packbits(2 * ones > shingles[some][:, None], axis=1).view(">u8").ravel()
     return out
 
 

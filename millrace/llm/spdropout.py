@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 
 from . import arrays as A
-from .runtime import arrow_map, prepare
+from .runtime import arrow_map, give_back, prepare
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT = 0.1
@@ -257,9 +257,10 @@ class Encoder:
     def __init__(self, v: Vocabulary, seed: int, dropout: float, variants: int | None = None):
         self.v, self.seed = v, A.mix(np.array([seed % (1 << 64)], np.uint64))[0]
         self.below = min(int(dropout * 2.0**64), (1 << 64) - 1)
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
+        """Drops all remembered chunks and nodes; pieces do not depend on them."""
         self.index = _Numbers()
         self.chunks = self.index.order
         none = np.zeros(0, np.int64)
@@ -381,7 +382,7 @@ class Encoder:
     def encode(self, texts: list[str], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Piece ids of all texts and the texts' bounds; ``keys`` stand for the documents' ids."""
         if max(len(self.index), len(self.child)) > REMEMBERED:
-            self._forget()
+            self.forget()
         index, got, counts, known = self.index, [], [], len(self.chunks)
         for t in texts:
             found = _CHUNK.findall(" " + t) if t else []
@@ -471,7 +472,11 @@ def encode(docs: DataFrame, *, model_path: str = MODEL_PATH, seed: int = 13, dro
         lists = pa.ListArray.from_arrays(pa.array(bound.astype(np.int32)), pa.array(ids))
         return {"doc_id": batch.column("doc_id"), "ids": lists, "n_pieces": np.diff(bound), "lossless": ~differs}
 
-    return arrow_map(source, rows, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, ids array<int>, n_pieces long, lossless boolean")
+    def forget() -> None:
+        _encoder(shared.value, seed, dropout).forget()  # workers serve later stages too
+        give_back()
+
+    return arrow_map(source, rows, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, ids array<int>, n_pieces long, lossless boolean", forget)
 
 
 def decode(encoded: DataFrame, *, model_path: str = MODEL_PATH) -> DataFrame:

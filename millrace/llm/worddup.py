@@ -1,15 +1,20 @@
-"""Near-dedup of whole texts by exact Jaccard similarity of their word shingles.
+"""Near-dedup of whole texts by SimHash, MinHash beyond its radius, and exact Jaccard similarity of word shingles.
 
 Texts are linked from a Jaccard similarity of ``line_dedup.SIMILARITY`` = 0.8 of
 their sets of ``WIDTH`` = 5-word shingles (words lower-cased, A-Z; a shorter text is
 its own only shingle). Of each connected component the row with the least doc_id stays.
 
-Candidates come from ``BANDS`` bands of ``ROWS`` MinHash values, each over all
-shingles, so that a value agrees with probability J whatever the length: a pair
-at 0.8 misses all bands with probability 5e-8. SimHash cannot find these pairs:
-at this similarity fingerprints differ in about ten of 64 bits, and a covering
-family of radius r has 2**(r + 1) - 1 masks. Candidates are verified exactly, and
-buckets that still span components pair by pair, as lines are.
+Candidates come from two searches, whose links meet in one union-find:
+
+* SimHash, by the operator of ``simhash``: the 64-bit fingerprint of the same shingles, its covering family,
+  stars and union-find. Texts whose fingerprints lie in one component are a bucket.
+* ``BANDS`` bands of ``ROWS`` MinHash values, each over all shingles, so that a value
+  agrees with probability J whatever the length: a pair at 0.8 misses all bands with
+  probability 5e-8. SimHash alone would lose most pairs near 0.8: their fingerprints differ
+  in about ten of 64 bits, and a covering family of radius r has 2**(r + 1) - 1 masks.
+
+Candidates of both are verified exactly, and buckets that still span components pair
+by pair, as lines are: fingerprints alone remove no text.
 
 Defined results. Texts without words (null, empty, white space) are linked with each
 other only. Rows equal in doc_id and text count as repeats, of which one stays. Null
@@ -26,6 +31,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import arrays as A
+from . import simhash
+from .graph import connected
 from .line_dedup import candidates, keyed_rows, linked, once
 from .runtime import arrow_map, batches_of, cut, fresh, prepare, row_key, stored
 
@@ -98,13 +105,27 @@ def _text_hashes(texts: list[str]) -> list[np.ndarray]:
 
 
 def prints(keyed: DataFrame) -> DataFrame:
-    """(k1, k2, doc_id, node) of every row; node is the hash of its words."""
+    """(k1, k2, doc_id, node, fp) of every row; node is the hash of its words, fp the fingerprint of its shingles."""
 
     def rows(batch: pa.RecordBatch) -> dict:
-        node = np.concatenate([_nodes(*_words(d, o)) for _, _, d, o in A.blocks(*A.column_bytes(batch.column(3)))])
-        return {"k1": batch.column(0), "k2": batch.column(1), "doc_id": batch.column(2), "node": node.view(np.int64)}
+        node, fp = [], []
+        for _, _, data, off in A.blocks(*A.column_bytes(batch.column(3))):
+            unit, bound = _words(data, off)
+            hashes, number = _shingles(unit, bound)
+            node.append(_nodes(unit, bound))
+            fp.append(simhash.majority(hashes.astype(">u8").view(np.uint8).reshape(-1, 8), number))
+        return {"k1": batch.column(0), "k2": batch.column(1), "doc_id": batch.column(2), "node": np.concatenate(node).view(np.int64), "fp": np.concatenate(fp).view(np.int64)}
+
+    return arrow_map(keyed, rows, f"k1 long, k2 long, doc_id {keyed.schema['doc_id'].dataType.simpleString()}, node long, fp long")
+
 
-    return arrow_map(keyed, rows, f"k1 long, k2 long, doc_id {keyed.schema['doc_id'].dataType.simpleString()}, node long")
+def fingerprint_stars(every: DataFrame) -> DataFrame:
+    """(a, b, key) of the texts (node, fp) whose fingerprints SimHash links: each component as a star; b is its least node."""
+    nodes = cut(every.groupBy("node").agg(F.min("fp").alias("fp")))
+    roots = connected(simhash.link_edges(nodes.select("fp").distinct())).withColumnRenamed("node", "fp")
+    nodes = cut(nodes.join(roots, "fp", "left").select("node", F.coalesce("root", "fp").alias("key")))
+    least = nodes.groupBy("key").agg(F.min("node").alias("b"))
+    return nodes.join(least, "key").where("node <> b").select(F.col("node").alias("a"), "b", F.xxhash64("key").alias("key"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
@@ -112,8 +133,9 @@ def keep_one(docs: DataFrame) -> DataFrame:
     spark = prepare(docs.sparkSession)
     keyed = keyed_rows(docs)
     every = stored(prints(keyed))
+    stars = fingerprint_stars(every)
     with batches_of(spark, 64):
-        edges = stored(candidates(keyed, _bands))
+        edges = stored(candidates(keyed, _bands).union(stars))
 
     def bodies(nodes: DataFrame) -> DataFrame:
         place = every.groupBy("node").agg(F.min("k1").alias("k1"), F.min_by("k2", "k1").alias("k2")).join(nodes, "node")

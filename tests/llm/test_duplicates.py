@@ -11,7 +11,7 @@ import pytest
 import xxhash
 
 import corpus_pipeline
-from millrace.llm import decontam, graph, line_dedup, simhash, suffixdup, worddup
+from millrace.llm import decontam, graph, line_dedup, runtime, simhash, suffixdup, worddup
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 DOCS = "doc_id long, text string"
@@ -149,6 +149,40 @@ def test_near_dedup_stage_links_by_jaccard(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(roots(sets, links).values()))
 
 
+def test_near_dedup_stage_searches_by_simhash_and_checks_exactly(spark, monkeypatch):
+    """With MinHash shut off, what SimHash links is still found; equal fingerprints of unlike shingle sets remove nothing."""
+    monkeypatch.setattr(worddup, "candidates", lambda *_: spark.createDataFrame([], "a long, b long, key long"))
+    rng = random.Random(12)
+    rows = []
+    for _ in range(12):
+        t = prose(rng, 400)
+        rows += [t, t + " end", t.replace(" ", "  ").upper() + " End mark"]
+    refrain = "this refrain comes back again " * 60  # five shingles: no bit is near a tie
+    unlike = [refrain + prose(rng, 12), refrain + prose(rng, 12)]
+    rows = list(enumerate([*rows, *unlike, "", None]))
+    docs = spark.createDataFrame(rows, DOCS)
+    every = worddup.prints(worddup.keyed_rows(docs)).collect()
+    fps = {r.doc_id: r.fp % 2**64 for r in every}
+    assert (fps[36] ^ fps[37]).bit_count() <= 3
+    sets = word_sets(rows)
+    near = [(a, b) for a in sets for b in sets if a < b and (fps[a] ^ fps[b]).bit_count() <= 3]
+    links = [(a, b) for a, b in near if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    assert len(links) > 20 and (36, 37) in near and (36, 37) not in links
+    kept = sorted(r.doc_id for r in corpus_pipeline.apply_near_dedup(spark, docs, "").collect())
+    assert kept == sorted(set(roots(sets, links).values()))
+
+
+def test_workers_give_memory_back_at_the_end_of_a_task():
+    class Frame:
+        def mapInArrow(self, function, schema):
+            return list(function(iter([pa.RecordBatch.from_arrays([pa.array([1, 2])], ["x"])])))
+
+    ended = []
+    out = runtime.arrow_map(Frame(), lambda batch: {"x": batch.column(0)}, "x long", lambda: ended.append(True))
+    assert out[0].column(0).to_pylist() == [1, 2] and ended == [True]
+    runtime.give_back()
+
+
 def test_near_dedup_stage_on_nulls_repeats_and_nothing(spark):
     docs = spark.createDataFrame([(1, "a b c d"), (1, "a b c d"), (1, "other words here now"), (None, "a b c d"), (None, "lonely text"), (None, "lonely text"), (7, None)], DOCS)
     kept = sorted(((r.doc_id, r.text) for r in worddup.keep_one(docs).collect()), key=str)
