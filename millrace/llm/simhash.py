@@ -144,7 +144,10 @@ def _stars(bucketed: DataFrame) -> DataFrame:
         if len(held[0]) and (out := links(*held)) is not None:
             yield out
 
-    return bucketed.select("mask", "key", "fp").repartition("mask", "key").sortWithinPartitions("mask", "key").mapInArrow(rows, "a long, b long")
+    # dealt out by another expression than that of the join below: else the planner takes the join's order for granted,
+    # leaves this exchange and sort out, and adaptive execution may still turn the join into a broadcast, which tears buckets apart
+    dealt = bucketed.select("mask", "key", "fp").repartition(F.xxhash64("mask", "key")).sortWithinPartitions("mask", "key")
+    return dealt.mapInArrow(rows, "a long, b long")
 
 
 def link_edges(nodes: DataFrame) -> DataFrame:

@@ -104,6 +104,20 @@ def test_simhash(spark, monkeypatch, bucket):
         assert sorted(r.doc_id for r in kept.collect()) == sorted(set(want.values()))
 
 
+def test_simhash_links_hold_when_a_join_turns_into_a_broadcast(spark):
+    """Buckets stay together and in order though the join of their sizes is small enough to be broadcast at run time."""
+    rng = np.random.default_rng(6)
+    centre = rng.integers(0, 2**64, 3000, np.uint64)
+    near = [centre ^ sum(np.uint64(1) << b for b in rng.permuted(np.tile(np.arange(64, dtype=np.uint64), (3000, 1)), axis=1)[:, :3].T) for _ in range(2)]
+    fps = np.sort(np.concatenate([centre, *near]))
+    simhash.prepare(spark)
+    nodes = spark.createDataFrame([(x,) for x in fps.view(np.int64).tolist()], "fp long").repartition(5)
+    plan = simhash._stars(simhash._keyed(nodes.selectExpr("0L AS mask", "fp")).join(spark.createDataFrame([], "mask long, key long"), ["mask", "key"]))
+    assert "REPARTITION_BY_COL" in plan._jdf.queryExecution().executedPlan().toString()
+    root = {r.node: r.root for r in graph.connected(simhash.link_edges(nodes)).collect()}
+    assert all(root.get(a) is not None and root[a] == root.get(b) for x in near for a, b in zip(centre.view(np.int64).tolist(), x.view(np.int64).tolist(), strict=True))
+
+
 def test_simhash_on_nulls_repeats_and_nothing(spark):
     rows = [(1, "a b c d"), (1, "a b c d"), (1, "other words here now"), (None, "a b c d"), (None, "lonely text by itself"), (7, None)]
     docs = spark.createDataFrame(rows, DOCS)
@@ -167,7 +181,7 @@ def test_near_dedup_stage_searches_by_simhash_and_checks_exactly(spark, monkeypa
     sets = word_sets(rows)
     near = [(a, b) for a in sets for b in sets if a < b and (fps[a] ^ fps[b]).bit_count() <= 3]
     links = [(a, b) for a, b in near if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
-    assert len(links) > 20 and (36, 37) in near and (36, 37) not in links
+    assert len(links) >= 12 and (36, 37) in near and (36, 37) not in links
     kept = sorted(r.doc_id for r in corpus_pipeline.apply_near_dedup(spark, docs, "").collect())
     assert kept == sorted(set(roots(sets, links).values()))
 
