@@ -164,6 +164,12 @@ def test_queries_over_blank_texts(spark, tmp_path):
     assert checked == {1: ("erat x",) * 2, 2: (None, None), 3: (None, None), 4: (None, None), 5: ("x erat, erat",) * 2, 6: (None, None)}
 
 
+def test_abbreviations_leave_blank_texts_alone(spark):
+    df = table(spark, ["erat x", " \n", "", "\xa0", "x erat, erat", None], [CONTENT])
+    out = lexical.normalize_abbreviations(df, Lexicon(abbreviations={"erat": [("không", None)]}))
+    assert contents(out) == ["không x", " \n", "", "\xa0", "x không, không", None]
+
+
 def test_review_merge(spark):
     df = table(spark, ["một", "hai", "một hai ba bốn năm"], [CONTENT])
     kept, suspect = coarse.split_short(df)
