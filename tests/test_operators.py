@@ -238,6 +238,25 @@ def test_lexical_flow(spark):
     assert "(2/2: luật=không; ViLexNorm=không)" in lexical.annotate_suggestions(rows, LEXICON).orderBy(ROW).first()[lexical.TOKEN_DETAIL]
 
 
+def test_token_stats_from_runs(spark):
+    """Tokens beside _, @ or # or with digits count as tokens, not as syllables; of equally frequent forms the first one stands."""
+    df = table(spark, ["tốt tốt_x @hàng hàng# hàng hàng hãng, HÃNG hãng hãng 12 a1", "hang tốt"], [CONTENT])
+    stats = lexical.token_stats(df, Lexicon(syllables=frozenset("tốt hàng hãng hang".split())))
+    assert {r.token: r.n for r in stats.counts.collect()} == {"tốt": 3, "x": 1, "hàng": 4, "hãng": 4, "a1": 1, "hang": 1}
+    assert dict(stats.vocabulary) == {"tốt": 2, "hàng": 2, "hãng": 4}
+    assert stats.accented == {"tot": ("tốt", 3), "hang": ("hàng", 4)}
+
+
+def test_what_is_replaced_can_be_decided_by_token(spark):
+    df = table(spark, ["Ko tốt, giao hang nhanh, hang 200 k, đường may", "hàng hàng hàng hàng tốt box", None, "hàng tốt"], [CONTENT])
+    nonstandard = lexical.nonstandard_tokens(lexical.token_stats(df, LEXICON), LEXICON)
+    few = lexical.agreed_tokens(nonstandard)
+    assert {r.token for r in few.collect()} == {"ko", "hang"}
+    for least in (1, 2):
+        each, some = (lexical.apply_corrections(df, lexical.suspect_rows(df, x), LEXICON, least_restored=least) for x in (nonstandard, few))
+        assert sorted(map(str, each.collect())) == sorted(map(str, some.collect()))
+
+
 def test_spelling_split(spark):
     df = table(spark, ["hangf đẹp", "hàng ổn", "hàng tốt", None], [CONTENT])
     kept, suspect = lexical.split_spelling_errors(df, Lexicon())
