@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.text import blank, has_accent, none_if_blank, trim_all, word_count
 from ..schema import ANONYMOUS, AUTHOR, BOOKKEEPING, CONTENT, CRAWLED, CRITERIA, CRITERION_SUFFIX, MOVED, POSTED, PRODUCT, PRODUCT_ORD, REVIEW_ID, REVIEW_RAW, ROW, column_or_null
 
+BLOCK_BITS = 10  # 1024 row numbers a block
 TIME_FORMAT = "yyyy-MM-dd HH:mm"
 CRAWL_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSSSS][.SSSS][.SSS][.SS][.S]X"
 
@@ -37,8 +38,19 @@ def assign_review_id(df: DataFrame, content: str = CONTENT) -> DataFrame:
     """Puts ``review_id`` (product and 1-based position) and a copy of the content in front."""
     if REVIEW_ID in df.columns:
         raise ValueError(f"the table has a column {REVIEW_ID} already")
-    place = F.row_number().over(Window.partitionBy(PRODUCT).orderBy(ROW))
-    return df.select(F.format_string("%s_%05d", F.col(PRODUCT), place).alias(REVIEW_ID), column_or_null(df, content).alias(REVIEW_RAW), "*")
+    names = [PRODUCT, "__block"]
+    blocks = df.select(PRODUCT, ROW).withColumn("__block", _block()).groupBy(*names).agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy(PRODUCT).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select(F.col(PRODUCT).alias("__p"), F.col("__block").alias("__b"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__before"))
+    placed = df.withColumn("__block", _block()).withColumn("__k", F.row_number().over(Window.partitionBy(*names).orderBy(ROW)))
+    placed = placed.join(blocks, F.col(PRODUCT).eqNullSafe(F.col("__p")) & F.col("__block").eqNullSafe(F.col("__b")), "left")
+    place = F.col("__before") + F.col("__k")
+    return placed.select(F.format_string("%s_%05d", F.col(PRODUCT), place).alias(REVIEW_ID), column_or_null(df, content).alias(REVIEW_RAW), *(f"`{c}`" for c in df.columns))
+
+
+def _block() -> Column:
+    """Rows are numbered within blocks of neighbouring keys; blocks, a few bytes each, within their product."""
+    return F.shiftright(F.col(ROW), BLOCK_BITS)
 
 
 def fix_field_misalignment(df: DataFrame, author: str = AUTHOR, content: str = CONTENT, anonymous: str = ANONYMOUS, least_words: int = 2) -> DataFrame:

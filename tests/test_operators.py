@@ -164,6 +164,17 @@ def test_queries_over_blank_texts(spark, tmp_path):
     assert checked == {1: ("erat x",) * 2, 2: (None, None), 3: (None, None), 4: (None, None), 5: ("x erat, erat",) * 2, 6: (None, None)}
 
 
+def test_review_ids_over_blocks(spark):
+    """Positions go on over blocks of row numbers, whose gaps do not count, and no window holds a whole product."""
+    rows = [(p, 0, k * 700 - 3000, "x") for p in ("a", "b", None) for k in range(12)]
+    df = spark.createDataFrame(rows, f"{PRODUCT} string, {PRODUCT_ORD} int, {ROW} long, `{CONTENT}` string")
+    out = structure.assign_review_id(df)
+    assert sorted((str(r[PRODUCT]), r[ROW], r[REVIEW_ID]) for r in out.collect()) == sorted((str(p), r, f"{'null' if p is None else p}_{(r + 3000) // 700 + 1:05d}") for p, _, r, _ in rows)
+    windows = [line for line in out._jdf.queryExecution().executedPlan().toString().splitlines() if "Window [row_number" in line]
+    assert windows
+    assert all("__block" in line for line in windows)
+
+
 def test_abbreviations_leave_blank_texts_alone(spark):
     df = table(spark, ["erat x", " \n", "", "\xa0", "x erat, erat", None], [CONTENT])
     out = lexical.normalize_abbreviations(df, Lexicon(abbreviations={"erat": [("không", None)]}))
@@ -266,6 +277,23 @@ def test_spelling_split(spark):
     assert contents(lexical.fix_spelling(df, Lexicon()))[0] == "hàng đẹp"
 
 
+def test_batches_of_texts_are_bounded_by_bytes(spark):
+    import pandas as pd
+
+    from millrace.functions import batched
+
+    @F.pandas_udf("long")
+    def size(x: pd.Series) -> pd.Series:
+        return pd.Series([x.str.len().sum()] * len(x))
+
+    texts = batched.short_batches(spark).range(0, 5000, 1, 1).select(F.repeat(F.lit("abcdefghij"), 300).alias("t"))
+    assert texts.agg(F.max(size("t"))).first()[0] <= 2 * batched.BATCH_BYTES
+
+
+def test_neighbouring_tokens_are_rewritten():
+    assert context_models.DictionaryModel({"worthless": "useless"})(["Worthless worthless, worthless"]) == ["Useless useless, useless"]
+
+
 def test_context_models(spark):
     df = table(spark, ["Ko tốt ngừoi bán", "tốt"], [CONTENT])
     stats = lexical.token_stats(df, LEXICON)
