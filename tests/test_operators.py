@@ -369,3 +369,30 @@ def test_near_duplicates_of_real_texts_by_brute_force(spark):
     both = a.union(b)
     assert {tuple(r) for r in neardup.split_near_duplicates(both).suspect.select(PRODUCT, ROW).collect()} == within
     assert {tuple(r) for r in neardup.split_cross_file_near_duplicates(both).suspect.select(PRODUCT, ROW).collect()} == across
+
+
+def test_bounds_on_long_texts_lose_no_pair():
+    """Texts beyond ``difflib``'s 200 characters, with scattered and with blockwise changes; unrelated ones are not compared."""
+    import difflib
+    import random
+
+    rng = random.Random(5)
+    words = ["".join(rng.choices("etaoinshrdlucm", k=rng.randint(2, 8))) for _ in range(300)]
+    texts = []
+    for n in (40, 90, 300):
+        for _ in range(6):
+            base = " ".join(rng.choice(words).capitalize() if rng.random() < 0.1 else rng.choice(words) for _ in range(n)) + "."
+            texts.append(base)
+            for share in (0.01, 0.03, 0.05):
+                texts.append("".join(rng.choice("xqz,.") if rng.random() < share else c for c in base))
+            texts.append(base[len(base) // 12 :] + rng.choice(words))
+    rows = [{"txt": t, "len": len(t), "k": k} for k, t in enumerate(texts)]
+    block, similar, compared, pairs = neardup._Block(rows, min(r["len"] for r in rows)), 0, 0, 0
+    for a in rows:
+        found = {b["k"] for b in block.near(a, 0.9)}
+        for b in rows:
+            if (a["len"], a["k"]) < (b["len"], b["k"]) and b["len"] <= a["len"] * (2 / 0.9 - 1):
+                close = difflib.SequenceMatcher(None, a["txt"], b["txt"]).ratio() >= 0.9
+                pairs, compared, similar = pairs + 1, compared + (b["k"] in found), similar + close
+                assert not close or b["k"] in found
+    assert 20 < similar <= compared < pairs / 2
