@@ -396,3 +396,31 @@ def test_bounds_on_long_texts_lose_no_pair():
                 pairs, compared, similar = pairs + 1, compared + (b["k"] in found), similar + close
                 assert not close or b["k"] in found
     assert 20 < similar <= compared < pairs / 2
+
+
+def test_length_band_holds_every_pair(spark):
+    """Against all pairs: lengths on the bound itself, ties of length, copies by two authors, unknown authors, products; keys stand for texts."""
+    texts = [(f"{'abcdefghij'[k % 7] * (n - 2)}{k % 10}{k // 10 % 10}", n) for k, n in enumerate([27, 81, 243, 729, 9, 11, 18, 22, 90, 110, 111, 50, 50, 50, 61, 62] * 3)]
+    rows = [(("An", "Bình", None)[k % 3], t) for k, (t, _) in enumerate(texts)] + [("Chi", texts[5][0].upper() + " "), ("An", texts[6][0]), ("Dũng", " ")]
+    both = table(spark, rows, [AUTHOR, CONTENT], "a").union(table(spark, rows[:9], [AUTHOR, CONTENT], "b", 1).withColumn(ROW, F.col(ROW) + 1000)).cache()
+    keys = neardup.keys_of(both, CONTENT, AUTHOR)
+    every = sorted(neardup.texts_of(both, CONTENT, AUTHOR).drop("txt").collect(), key=lambda r: (r["len"], *r.place))
+    assert "txt" not in keys.columns
+    assert sorted(keys.select("id", "len", "g0", "g1", "place").collect()) == sorted((r.id, r.len, r.g0, r.g1, r.place) for r in every)
+    for threshold in (0.9, 0.5):
+        want = [(a.place[ROW], b.place[ROW]) for k, a in enumerate(every) for b in every[k + 1 :] if b.len <= a.len * (2 / threshold - 1) and ((a.g0, a.g1) != (b.g0, b.g1) or a.g0 != a.g1)]
+        got = [tuple(r) for r in neardup.length_band(keys, threshold, F.col(f"place.{ROW}")).collect()]
+        assert sorted(got) == sorted(want)
+    assert neardup.length_band(keys.limit(0), 0.9, F.col(f"place.{ROW}")).isEmpty()
+
+
+def test_length_band_is_stored_in_little_room(spark, tmp_path):
+    """The pairs grow with the square of the table; a million of them took 1.4 bytes each, and the texts were sorted and sent."""
+    from millrace.plans.queries import QUERIES
+
+    docs = spark.range(2000).select(F.col("id").alias("doc_id"), F.concat(F.hash("id").cast("string"), F.repeat(F.lit("x"), (300 + F.col("id") * 7919 % 60).cast("int"))).alias("text"), F.lit("en").alias("lang"), F.concat(F.lit("s"), F.col("id") % 3).alias("source"))
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    QUERIES["near_duplicate_length_band"](spark, str(tmp_path)).write.parquet(str(tmp_path / "out"))
+    rows = spark.read.parquet(str(tmp_path / "out")).count()
+    assert rows == 666 * 667 + 667 * 667 + 666 * 667  # all are within the band; 667, 667 and 666 texts by source
+    assert sum(f.stat().st_size for f in (tmp_path / "out").glob("*.parquet")) < 0.4 * rows
